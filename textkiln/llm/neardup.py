@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
@@ -194,3 +194,19 @@ def _verified(texts: DataFrame, groups: DataFrame, sizes: DataFrame, words: int,
         .select("grp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc_id", "shingles")
     )
     return map_groups(spread, ["grp", "i", "j"], _verify(percent), "a long, b long")
+
+
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of near copies, the one of least
+    ``doc_id``; all columns as they came.
+
+    Of rows that repeat a kept ``doc_id`` one stays, the first by hash of its
+    text. Rows without a ``doc_id`` name no document and all stay.
+    """
+    found = near_duplicates(docs, words, percent)
+    kept = found.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept")).distinct()
+    rows = docs.withColumn("__id", F.col("doc_id").cast("long"))
+    named = rows.where("__id IS NOT NULL").join(kept, F.col("__id") == F.col("__kept"), "left_semi")
+    first = Window.partitionBy("__id").orderBy(F.xxhash64("text"))
+    named = named.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
+    return named.unionByName(rows.where("__id IS NULL")).drop("__id")
