@@ -1,4 +1,8 @@
 """All registered queries and the SQL that states what each must return."""
 
-QUERIES = {}
-ORACLES = {}
+from __future__ import annotations
+
+from . import chunk_queries, score_queries, seed_queries
+
+QUERIES = chunk_queries.QUERIES | seed_queries.QUERIES | score_queries.QUERIES
+ORACLES = chunk_queries.ORACLES | seed_queries.ORACLES | score_queries.ORACLES
