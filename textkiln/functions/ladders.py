@@ -12,9 +12,20 @@ FLAT = r"(?s)\{[^{}]+\}"
 NESTED = r"(?s)\{[^{}]*(?:\{[^{}]*\}[^{}]*)?\}"
 
 
+def is_json(c: Column) -> Column:
+    """True for a text that is one JSON value and nothing more.
+
+    Parsers stop behind the first value; inside brackets and inside braces what
+    follows it would have to fit as well.
+    """
+    listed = F.json_array_length(F.concat(F.lit("["), c, F.lit("]"))) == 1
+    named = F.size(F.json_object_keys(F.concat(F.lit('{"x":'), c, F.lit("}")))) == 1
+    return F.coalesce(F.try_parse_json(c).isNotNull() & listed & named, F.lit(False))
+
+
 def _parsed(c: Column) -> Column:
     """The text itself where it is valid JSON, else null."""
-    return F.when(F.try_parse_json(c).isNotNull(), c)
+    return F.when(is_json(c), c)
 
 
 def _match(c: Column, pattern: str, group: int) -> Column:
@@ -33,7 +44,7 @@ def longest_json(c: Column) -> Column:
     t = strip_thinking(c)
     blocks = F.regexp_extract_all(t, F.lit(NESTED), F.lit(0))
     ranked = F.array_sort(F.transform(blocks, lambda b, i: F.struct((-F.length(b)).alias("rank"), i.alias("at"), b.alias("block"))))
-    good = F.filter(ranked, lambda r: F.try_parse_json(r["block"]).isNotNull())
+    good = F.filter(ranked, lambda r: is_json(r["block"]))
     return F.coalesce(_parsed(strip(t)), _parsed(_match(t, FENCE, 1)), F.get(good, F.lit(0))["block"])
 
 

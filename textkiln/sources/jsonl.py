@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textkiln.functions import text as T
+from textkiln.functions.ladders import is_json
 
 _BAD = "_corrupt"
 
@@ -20,7 +21,7 @@ def tolerant_scan(spark: SparkSession, path: str | list[str], schema: str) -> Da
 
 def tolerant_parse(lines: DataFrame, column: str, schema: str) -> DataFrame:
     """The same for lines that are already a column; other columns stay."""
-    good = F.try_parse_json(column).isNotNull() & T.strip(F.col(column)).startswith("{")
+    good = is_json(F.col(column)) & T.strip(F.col(column)).startswith("{")
     parsed = lines.where(good).withColumn("__row", F.from_json(column, schema))
     return parsed.select(*[c for c in lines.columns if c != column], "__row.*")
 
