@@ -2,11 +2,13 @@
 
 Documents are tokenized where they lie; from there on only piece lengths move.
 Pieces of full length are sequences already. The rest is dealt over partitions
-of bounded size, each packed best-fit decreasing. A lower bound from
-dual-feasible functions certifies a partition whose bins it meets. Partitions
-with a gap give up their unfilled bins, which are dealt anew so that documents
-of different partitions meet, and are packed again; a new packing is taken
-only where it needs fewer sequences.
+of bounded size, each packed best-fit decreasing. Lower bounds from
+dual-feasible functions certify a partition whose bins they meet, and the whole
+packing where the sum of the bins meets the bound of all lengths together. As
+long as there is a gap, the unfilled bins of partitions with gaps (of all
+partitions, where each is certified but not the whole) are dealt anew so that
+documents of different partitions meet, and are packed again; a new packing is
+taken only where it needs fewer sequences.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from .frames import map_groups, map_texts, need_columns, reliable
 CAPACITY = 1024
 END_ID = 2
 #: Items of a partition, about; and most exchanges.
-PART_ITEMS, EXCHANGES = 20_000, 3
+PART_ITEMS, EXCHANGES = 50_000, 4
 #: Words longer than this many bytes take the tokenizer whose time is not quadratic in them.
 LONG_WORD = 5_000
 
@@ -121,15 +123,19 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int = CAPACITY) -> tuple[np
 
 
 def lower_bound(sizes: np.ndarray, capacity: int = CAPACITY) -> int:
-    """Fewest bins possible, by the best of two families of dual-feasible functions.
+    """Fewest bins possible for the sizes."""
+    return bound_of_counts(np.bincount(sizes, minlength=capacity + 1)[: capacity + 1], capacity) if len(sizes) else 0
+
+
+def bound_of_counts(count: np.ndarray, capacity: int = CAPACITY) -> int:
+    """The same from how often each size occurs, by two families of
+    dual-feasible functions.
 
     Each function turns sizes into weights of which no bin can hold more than
     ``capacity``: the thresholds of Martello and Toth, and the steps of Fekete
     and Schepers.
     """
-    if not len(sizes):
-        return 0
-    count = np.bincount(sizes, minlength=capacity + 1)[: capacity + 1].astype(np.int64)
+    count = count.astype(np.int64)
     x = np.arange(capacity + 1, dtype=np.int64)
     total = int((count * x).sum())
     best = -(-total // capacity)
@@ -177,31 +183,38 @@ def _pack(capacity: int):
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, part_items: int = PART_ITEMS) -> DataFrame:
     """``(uid, bin, offset)`` for rows ``(uid, length)``, each shorter than a sequence.
 
-    Bins whose partition is certified, and full bins, are done. The others are
-    dealt again, whole, into as few partitions as the bound on items allows.
+    Full bins are done, and so are those of certified partitions while others
+    have gaps. The rest is dealt again, whole bins together, into as few
+    partitions as the bound on a partition's items allows.
     """
     items = pieces.select("uid", "length")
-    done = None
-    parts = max(1, -(-items.count() // part_items))
+    # at most as many rows as there are lengths
+    count = np.zeros(capacity + 1, np.int64)
+    for r in items.groupBy("length").agg(F.count("*").alias("n")).collect():
+        count[r["length"]] = r["n"]
+    bound = bound_of_counts(count, capacity)
+    parts = max(1, -(-int(count.sum()) // part_items))
     dealt = items.withColumn("part", F.pmod(F.xxhash64("uid"), F.lit(parts)))
+    done, made = None, 0
     for turn in range(EXCHANGES + 1):
         packed = reliable(map_groups(dealt, ["part"], _pack(capacity), _PACKED, parts=min(parts, 10_000)))
-        if turn == EXCHANGES or (turn and parts == 1):
-            final = packed
-            open_bins = None
-        else:
+        bins = packed.groupBy("bin").agg(F.first("fill").alias("fill"), F.first("gap").alias("gap"))
+        seen = bins.agg(F.count("*").alias("n"), F.count_if(F.col("gap") > 0).alias("gap"), F.count_if(F.col("fill") == capacity).alias("full")).first()
+        ended = made + seen["n"] <= bound or turn == EXCHANGES or (turn and parts == 1)
+        if ended:
+            stays = F.lit(True)
+        elif seen["gap"]:
             stays = (F.col("gap") <= 0) | (F.col("fill") == capacity)
-            final, open_bins = packed.where(stays), packed.where(~stays)
-        rows = final.select("uid", "bin", "offset")
+        else:
+            stays = F.col("fill") == capacity
+        rows = packed.where(stays).select("uid", "bin", "offset")
         done = rows if done is None else done.union(rows)
-        if open_bins is None:
-            break
-        left = open_bins.count()
-        if not left:
+        if ended:
             break
-        parts = max(1, -(-left // part_items))
-        part = F.pmod(F.xxhash64("bin", F.lit(turn)), F.lit(parts))
-        dealt = open_bins.select("uid", "length", "bin", "offset", "fill", part.alias("part"))
+        made += bins.where(stays).count()
+        left = packed.where(~stays)
+        parts = max(1, -(-left.count() // part_items))
+        dealt = left.select("uid", "length", "bin", "offset", "fill", F.pmod(F.xxhash64("bin", F.lit(turn)), F.lit(parts)).alias("part"))
     return done
 
 
