@@ -30,7 +30,7 @@ from .frames import map_texts, need_columns, reliable
 from .quality_model import held_out, labelled_sample
 
 #: Words of a window.
-WINDOW = 8
+WINDOW = 12
 #: Labelled rows used of each class, at most; words of either dictionary.
 SAMPLE_PER_CLASS, COMMON_WORDS, TOXIC_WORDS = 1500, 1500, 2000
 MIN_LETTERS, MIN_SURROUNDINGS, RATIO = 4, 10, 8
@@ -51,7 +51,7 @@ def windows(text: str | None, size: int = WINDOW) -> list[bytes]:
 def _coder(dictionary: bytes) -> zstandard.ZstdCompressor:
     kind = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     how = zstandard.ZstdCompressionParameters(
-        strategy=zstandard.STRATEGY_GREEDY, min_match=5, window_log=17, chain_log=14, hash_log=14, search_log=3, target_length=16,
+        strategy=zstandard.STRATEGY_GREEDY, min_match=5, window_log=19, chain_log=16, hash_log=16, search_log=4, target_length=16,
         write_content_size=False, write_checksum=False, write_dict_id=False,
     )
     return zstandard.ZstdCompressor(compression_params=how, dict_data=kind)
