@@ -161,7 +161,7 @@ def rouge_l_native(reference: Column, prediction: Column) -> Column:
 
     def row(previous, y):
         def cell(done, k):
-            left = F.coalesce(F.element_at(done, -1), F.lit(0))
+            left = F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0))
             diagonal = F.when(k > 0, F.get(previous, k - 1)).otherwise(F.lit(0))
             best = F.when(F.get(a, k) == y, diagonal + 1).otherwise(F.greatest(left, F.get(previous, k)))
             return F.concat(done, F.array(best))
@@ -169,6 +169,6 @@ def rouge_l_native(reference: Column, prediction: Column) -> Column:
         return F.aggregate(F.sequence(F.lit(0), F.size(a) - 1), F.array().cast("array<int>"), cell)
 
     start = F.transform(a, lambda _: F.lit(0))
-    common = F.when((F.size(a) > 0) & (F.size(b) > 0), F.element_at(F.aggregate(b, start, row), -1)).otherwise(F.lit(0))
+    common = F.when((F.size(a) > 0) & (F.size(b) > 0), F.try_element_at(F.aggregate(b, start, row), F.lit(-1))).otherwise(F.lit(0))
     p, r = common / F.size(b), common / F.size(a)
     return F.when(common > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
