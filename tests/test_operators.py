@@ -181,3 +181,10 @@ def test_stage_gating():
     assert reports.stages_to_run() == ["chunk", "enrich", "generate", "format", "train", "eval"]
     assert reports.stages_to_run("format", "eval", skip=("train",)) == ["format", "eval"]
     assert reports.stages_to_run("eval", with_dpo=True) == ["eval", "dpo"]
+
+
+def test_rejected_is_the_models_weakest_answer(spark):
+    seeds = spark.createDataFrame([("q1",), ("q2",), ("q3",)], "question string")
+    answers = spark.createDataFrame([("q1", "bad", 0.1), ("q1", "worse", 0.0), ("q2", "good", 0.9)], "question string, response string, score double")
+    got = {r["question"]: r["rejected"] for r in prefs.rejected_from_answers(seeds, answers).collect()}
+    assert got == {"q1": "worse", "q2": None, "q3": None}

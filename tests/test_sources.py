@@ -78,3 +78,11 @@ def test_tokens(spark):
     df = spark.createDataFrame([(1, 2, "lo"), (1, 1, "hel")], "c int, n int, t string")
     assert resume.joined_tokens(df, "c", "n", "t").first()["text"] == "hello"
     assert df.select(jsonl.binary_as_base64(F.lit(b"ab")).alias("b")).first()["b"] == "YWI="
+
+
+def test_pdf_texts_take_any_extractor(spark, tmp_path):
+    from textkiln.sources import pdf
+
+    (tmp_path / "a.pdf").write_bytes(b"%PDF words")
+    row = pdf.pdf_texts(spark, str(tmp_path / "*.pdf"), lambda c: c.decode().lower()).first()
+    assert row["text"] == "%pdf words" and row["path"].endswith("a.pdf")

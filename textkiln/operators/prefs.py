@@ -35,3 +35,11 @@ def preference_pairs(seeds: DataFrame, rejected: str, key: str, max_pairs: int =
     short = T.word_count(r) < S.MIN_REJECTED_WORDS
     rows = first.select(key, q.alias("prompt"), a.alias("chosen"), F.when(short, F.lit(S.FIXED_REJECTED)).otherwise(r).alias("rejected"))
     return rows.where("prompt <> '' AND chosen <> ''")
+
+
+def rejected_from_answers(seeds: DataFrame, answers: DataFrame, question: str = "question") -> DataFrame:
+    """``seeds`` with ``rejected``: the model's own weakest answer to the same
+    question (``response`` of least ``score`` below the weak threshold), or null."""
+    weak = answers.where(F.col("score") < S.WEAK_SCORE).groupBy(question)
+    worst = weak.agg(F.min_by("response", F.struct("score", "response")).alias("rejected"))
+    return seeds.join(worst, question, "left")
