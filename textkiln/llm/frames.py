@@ -41,6 +41,21 @@ def local_checkpoint_dir(master: str) -> str:
     return tempfile.mkdtemp(prefix="textkiln-checkpoint-")
 
 
+#: Most rows and bytes that go to a Python worker at once. Texts are long, and a
+#: batch is held several times over: by the JVM, by Arrow and as Python objects.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch limits to the bounds above. They are read
+    when a plan runs, so they stay lowered for the session."""
+    for key, bound in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(name).rstrip("b")
+        if not (now.isdigit() and 0 < int(now) <= bound):
+            spark.conf.set(name, str(bound))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -65,6 +80,8 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator
 def map_texts(df: DataFrame, column: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Apply ``fn`` to runs of rows; results come from Arrow without pandas."""
 
+    bound_batches(df.sparkSession)
+
     def run(batches):
         for batch in batches:
             for piece in slices(batch, column):
@@ -79,6 +96,7 @@ def map_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.Table
     Rows are dealt by the keys and sorted inside their partition, and only the
     rows of one group are held at once: callers must bound their groups.
     """
+    bound_batches(df.sparkSession)
     width = parts or shuffle_width(df.sparkSession)
     dealt = df.repartition(width, *keys).sortWithinPartitions(*keys)
 

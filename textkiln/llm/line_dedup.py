@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from .frames import map_texts, need_columns, reliable
+from .frames import bound_batches, map_texts, need_columns, reliable
 
 BLANKS = " \t\n\v\f\r"
 MIN_CHARS = 40
@@ -169,6 +169,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     ``n_chars``, where there is one, is counted anew. A row that loses nothing
     keeps its text as it was, null included.
     """
+    bound_batches(docs.sparkSession)
     schema = docs.schema
     at = schema.fieldNames().index("text")
     count = schema.fieldNames().index("n_chars") if "n_chars" in schema.fieldNames() else None

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .frames import map_texts, need_columns, slices
+from .frames import bound_batches, map_texts, need_columns, slices
 from .shingles import mix64
 
 # Fixed values of the base measures.
@@ -127,11 +127,11 @@ def order_rules(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) ->
     """Rules by rejections per nanosecond on the ``sample_rows`` documents whose
     hashed id is least. An empty table keeps the given order."""
     texts = need_columns(docs, doc_id="long", text="string")
-    chosen = texts.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    chosen = texts.select("doc_id").where("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     sample = texts.join(F.broadcast(chosen), "doc_id", "left_semi").select("text")
     seen = sample.mapInArrow(_trial(rules), "rule string, ns long, rejected long, n long")
     rows = {r["rule"]: r for r in seen.groupBy("rule").agg(F.sum("ns").alias("ns"), F.sum("rejected").alias("rejected")).collect()}
-    # one added to both: a rule that rejected nothing still has its cost
+    # a little added to both: of rules that rejected nothing the cheapest comes first
     rate = {r.name: (rows[r.name]["rejected"] + 1e-3) / (rows[r.name]["ns"] + 1) for r in rules if r.name in rows}
     return sorted(rules, key=lambda r: -rate.get(r.name, 0))
 
@@ -168,6 +168,7 @@ def assess(docs: DataFrame, rules=None) -> DataFrame:
 def keep_good(docs: DataFrame, rules=None) -> DataFrame:
     """The rows that pass, with all their columns as they came."""
     rules = rules or order_rules(docs)
+    bound_batches(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
