@@ -14,7 +14,7 @@
 5. Union-find over those links gives the components.
 
 With 36 bands of 6 slots, a pair of similarity 0.8 shares no band with
-probability (1 - 0.8**6)**36 = 2e-5, one of 0.85 with 1e-8.
+probability (1 - 0.8**6)**36 = 2e-5, one of 0.85 with 4e-8.
 """
 
 from __future__ import annotations
