@@ -30,9 +30,9 @@ from .frames import map_texts, need_columns, reliable
 from .quality_model import held_out, labelled_sample
 
 #: Words of a window.
-WINDOW = 12
+WINDOW = 16
 #: Labelled rows used of each class, at most; words of either dictionary.
-SAMPLE_PER_CLASS, COMMON_WORDS, TOXIC_WORDS = 1500, 1500, 2000
+SAMPLE_PER_CLASS, COMMON_WORDS, TOXIC_WORDS = 2500, 1500, 2000
 MIN_LETTERS, MIN_SURROUNDINGS, RATIO = 4, 10, 8
 THRESHOLD = 0.3
 _EDGES = b".,;:!?\"'()|*&%$#<>"
