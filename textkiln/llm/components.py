@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from .frames import reliable
 
 _PAIR = "hi long, lo long"
+#: Links of a task, about, and fewest tasks of a round.
+TASK_LINKS, MIN_TASKS = 100_000, 12
 
 
 def union_find(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -61,13 +63,18 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", max_round
     for _ in range(max_rounds):
         if mark[0] == 0:
             break
+        # few links need few tasks: the steps of a round run in so many, however
+        # many partitions a shuffle has
+        tasks = max(MIN_TASKS, mark[0] // TASK_LINKS)
+        now = now.coalesce(tasks)
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(now.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).coalesce(tasks).distinct()
         floor = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(floor, "hi")
-        after = small.select("hi", F.col("m").alias("lo")).union(small.where("lo > m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))).distinct()
-        after = reliable(after)
+        kept, moved = F.struct("hi", F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        both = F.explode(F.when(F.col("lo") > F.col("m"), F.array(kept, moved)).otherwise(F.array(kept)))
+        after = reliable(small.select(both.alias("p")).select("p.*").coalesce(tasks).distinct().coalesce(tasks))
         then = _fingerprint(after)
         now, same, mark = after, then == mark, then
         if same:
