@@ -154,6 +154,43 @@ def test_repeated_and_missing_vectors(spark):
     assert embedding_dedup.near_vectors(df.limit(0)).collect() == []
 
 
+def planted_pairs(n, pairs, mean, dim=64, seed=5):
+    """Vectors of one direction in common and, for the first ones, a pair each at cosine 0.935."""
+    rng = np.random.default_rng(seed)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    v = unit(np.sqrt(mean) * np.eye(1, dim) + np.sqrt(1 - mean) * unit(rng.normal(size=(n - pairs, dim))))
+    off = rng.normal(size=(pairs, dim))
+    off = unit(off - (off * v[:pairs]).sum(axis=1, keepdims=True) * v[:pairs])
+    return np.vstack([v, 0.935 * v[:pairs] + math.sqrt(1 - 0.935**2) * off])
+
+
+def linked_in(spark, v):
+    df = spark.createDataFrame([(i, 0, x) for i, x in enumerate(v.tolist())], "vec_id long, label int, embedding array<double>")
+    return {r["vec_id"]: r["component_id"] for r in embedding_dedup.near_vectors(df).collect()}
+
+
+def test_large_label_of_one_direction_loses_no_pair(spark):
+    n, pairs = 20_000, 400
+    got = linked_in(spark, planted_pairs(n, pairs, 0.7))
+    assert [got[n - pairs + i] for i in range(pairs)] == list(range(pairs))
+
+
+def test_passes_follow_from_size_and_direction(spark, monkeypatch):
+    n, pairs = 6000, 300
+    v = planted_pairs(n, pairs, 0.5)
+    sample = v[:: n // 500]
+    few, many = (embedding_dedup.passes_needed(sample, k, window=64)[0] for k in (n, 100 * n))
+    raw = embedding_dedup.passes_needed(planted_pairs(n, pairs, 0.0)[:: n // 500], n, window=64)[0]
+    assert raw < few < many
+    assert embedding_dedup.passes_needed(sample, n, window=64, most=few - 1)[0] is None
+    # no label is compared whole: the derived passes have to find the pairs
+    monkeypatch.setattr(embedding_dedup, "SURE", 0)
+    monkeypatch.setattr(embedding_dedup, "TILES_A_PASS", 0)
+    monkeypatch.setattr(embedding_dedup, "TILE", 20)
+    got = linked_in(spark, v)
+    assert sum(got[n - pairs + i] == i for i in range(pairs)) >= 0.99 * pairs
+
+
 # --- urls ---------------------------------------------------------------------
 
 URLS = [
