@@ -64,6 +64,28 @@ def test_runs_are_compacted_and_anti_joined(spark):
     assert {r["k1"]: (r["n_docs"], r["last_doc"]) for r in runs.merged().collect()} == {0: (5, 40), 1: (4, 41), 2: (3, 42), 3: (2, 43), 4: (1, 44)}
 
 
+def test_batches_are_joined_against_the_runs(spark, monkeypatch):
+    met = []
+    unseen = line_dedup.LineRuns.unseen
+
+    def watched(self, keys):
+        out = unseen(self, keys)
+        met.append((keys.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(line_dedup.LineRuns, "unseen", watched)
+    common = "a line that every document of the table holds"
+    rows = [(i, f"{common}\na line of only one document, which is number {i}", "en", "s") for i in range(40)]
+    lost = line_dedup.dropped_keys(frame(spark, rows)).collect()
+    assert len(lost) == 39 and len(met) == line_dedup.BATCHES - 1
+    assert all(new == keys - 1 for keys, new in met)  # the common line is known
+    runs = line_dedup.LineRuns(spark)
+    for i in range(5):
+        runs.add(spark.createDataFrame([(2 * i, 7, 7), (2 * i + 1, i, 8)], "doc_id long, k1 long, k2 long"))
+    assert runs.all_runs().where("fresh").groupBy("k1", "k2").count().where("count > 1").count() == 0
+    assert runs.merged().where("k1 = 7").first()["n_docs"] == 5
+
+
 def test_rules_against_sql(spark):
     rng = random.Random(4)
     texts = [" ".join(rng.choices("alpha beta gamma delta x1 22".split(), k=rng.randrange(0, 140))) for _ in range(30)]

@@ -1,10 +1,12 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
-A run holds, for each line key, in how many documents it was met and the
-largest of their ids. A new batch of documents is joined against the runs (the
-keys that none of them holds are the batch's new lines) and adds a run of its
-own at level 0; when a level is full its runs are merged into one run of the
-next level. A key's totals are the sums over the few runs there are.
+A run holds, for each line key, in how many documents it was met, the largest
+of their ids, and whether it was the first run to hold the key. A new batch of
+documents is anti-joined against the runs: the keys that none of them holds are
+the batch's new lines, the others update the counts of known ones. Both make a
+run of the batch's own at level 0; when a level is full its runs are merged into
+one run of the next level. A key is new in exactly one run, so the anti-join
+reads each key once, and its totals are the sums over the few runs there are.
 """
 
 from __future__ import annotations
@@ -68,7 +70,7 @@ class LineRuns:
         self.levels: list[list[DataFrame]] = []
 
     def _write(self, counts: DataFrame) -> DataFrame:
-        return reliable(counts.select("k1", "k2", "n_docs", "last_doc").sortWithinPartitions("k1", "k2"))
+        return reliable(counts.select("k1", "k2", "n_docs", "last_doc", "fresh").sortWithinPartitions("k1", "k2"))
 
     def all_runs(self) -> DataFrame | None:
         runs = [r for level in self.levels for r in level]
@@ -80,21 +82,27 @@ class LineRuns:
     def merged(self) -> DataFrame:
         runs = self.all_runs()
         if runs is None:
-            return self.spark.createDataFrame([], "k1 long, k2 long, n_docs long, last_doc long")
+            return self.spark.createDataFrame([], "k1 long, k2 long, n_docs long, last_doc long, fresh boolean")
         return _sum(runs)
 
     def unseen(self, keys: DataFrame) -> DataFrame:
         """The rows of ``keys`` that no run holds: a batch's new lines."""
         runs = self.all_runs()
-        return keys if runs is None else keys.join(runs.select("k1", "k2").distinct(), ["k1", "k2"], "left_anti")
+        return keys if runs is None else keys.join(runs.where("fresh").select("k1", "k2"), ["k1", "k2"], "left_anti")
 
     def add(self, keys: DataFrame) -> None:
-        """Count a batch of ``(doc_id, k1, k2)`` rows into a run of its own.
+        """Count a batch of ``(doc_id, k1, k2)`` rows into a run of its own: the
+        keys that no run holds as new ones, the others as count updates.
 
         A document must not be spread over batches.
         """
         counts = keys.where("doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.countDistinct("doc_id").alias("n_docs"), F.max("doc_id").alias("last_doc"))
-        self._push(0, self._write(counts))
+        if not self.levels:
+            return self._push(0, self._write(counts.withColumn("fresh", F.lit(True))))
+        counts = reliable(counts)
+        fresh = self.unseen(counts).withColumn("fresh", F.lit(True))
+        known = counts.join(self.all_runs().where("fresh").select("k1", "k2"), ["k1", "k2"], "left_semi").withColumn("fresh", F.lit(False))
+        self._push(0, self._write(fresh.unionByName(known)))
 
     def _push(self, level: int, run: DataFrame) -> None:
         while len(self.levels) <= level:
@@ -109,7 +117,7 @@ class LineRuns:
 
 
 def _sum(runs: DataFrame) -> DataFrame:
-    return runs.groupBy("k1", "k2").agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
+    return runs.groupBy("k1", "k2").agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"), F.bool_or("fresh").alias("fresh"))
 
 
 def dropped_keys(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:
