@@ -98,6 +98,19 @@ def test_blocks_of_a_large_group(spark, monkeypatch):
     assert [got[i] for i in range(60)] == brute(rows, 2, 80)[1]
 
 
+def test_unrelated_members_of_a_bucket_part_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "PARTED_ROWS", 3)
+    monkeypatch.setattr(neardup, "MEMBER_ROWS", 4)
+    rng = np.random.default_rng(2)
+    sig = [rng.integers(0, 256, neardup.SLOTS, dtype=np.uint8) for _ in range(20)]
+    sig[15] = sig[12].copy()  # behind twelve unrelated members
+    sig[7] = np.where(np.arange(neardup.SLOTS) < 80, sig[0], sig[7])  # like the least member
+    sig[16] = np.where(np.arange(neardup.SLOTS) >= 80, sig[7], sig[16])  # unlike it, like 7
+    reps = spark.createDataFrame([(i, bytearray(s.tobytes()), [77, 1000 + i]) for i, s in enumerate(sig)], "rep long, sig binary, keys array<long>")
+    got = {r["node"]: r["component"] for r in components.connected_components(neardup._stars(reps)).collect()}
+    assert got == {0: 0, 7: 0, 16: 0, 12: 12, 15: 12}
+
+
 def test_signatures_estimate_likeness():
     rng = np.random.default_rng(0)
     a = rng.integers(0, 2**63, 400).astype(np.uint64)

@@ -35,6 +35,25 @@ def union_find(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes, nodes[[root(i) for i in range(len(nodes))]]
 
 
+def unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``root``, the least place each place is joined to, with links added."""
+    while True:
+        x, y = root[a], root[b]
+        apart = x != y
+        if not apart.any():
+            return root
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def spanning(rep: np.ndarray, root: np.ndarray) -> pa.Table | None:
+    """Links ``(a, b)`` from the ids of joined places to those of their least ones."""
+    far = np.flatnonzero(root != np.arange(len(root)))
+    return pa.table({"a": rep[root[far]], "b": rep[far]}) if len(far) else None
+
+
 def _contract(batches):
     """Each batch of links becomes stars around its local components' roots."""
     for batch in batches:

@@ -5,9 +5,10 @@
 2. Class representatives get a SuperMinHash signature, cut into bands. A bucket
    is a band with equal values. Instead of all pairs, every bucket pairs its
    members with its least member only: links grow with rows, not with squares.
-3. Those pairs with any estimated likeness connect into candidate groups. Pairs
-   whose estimate is negligible are dealt once more among themselves, so an
-   unrelated least member does not part two others.
+3. Those pairs with any estimated likeness connect into candidate groups. A
+   member whose likeness to the least one is negligible is compared with every
+   other member of its bucket, in blocks, so an unrelated least member does not
+   part two others: what shares a bucket and is alike is in one group.
 4. Inside a candidate group all pairs are verified on the full sets, in blocks
    of bounded weight: a group of any size is spread over block pairs. A block
    pair returns only the spanning links of what it found.
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from .components import connected_components
+from .components import connected_components, spanning, unite
 from .frames import map_groups, map_texts, need_columns, reliable
 from .shingles import shingle_set
 from .superminhash import band_keys, signatures
@@ -35,6 +36,8 @@ SLOTS, BANDS, ROWS = 223, 36, 6
 NEGLIGIBLE = 0.3
 #: Most members and most shingles of a block, about.
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 1_500_000
+#: Parted members and other members of a bucket that are compared at once.
+PARTED_ROWS, MEMBER_ROWS = 512, 2048
 
 _FEATURES = "doc_id long, n_shingles long, h1 long, h2 long, sig binary, keys array<long>"
 
@@ -159,24 +162,52 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80) -> DataF
 
 
 def _stars(reps: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a bucket's least member and another, likely enough."""
+    """Likely pairs (a, b) that join all likely pairs of every bucket."""
     sigs = reps.select("rep", "sig")
     rows = reps.select("rep", F.explode("keys").alias("key"))
-    found = None
-    for _ in range(2):
-        least = rows.groupBy("key").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
-        star = reliable(rows.join(least, "key").where("rep <> a").select("key", "a", F.col("rep").alias("b")))
-        pairs = (
-            star.select("a", "b").distinct()
-            .join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a")
-            .join(sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b")
-            .select("a", "b", "sa", "sb")
-        )
-        scored = reliable(pairs.mapInArrow(_estimates, "a long, b long, likeness double"))
-        good = scored.where(F.col("likeness") >= NEGLIGIBLE).select("a", "b")
-        found = good if found is None else found.union(good)
-        rows = star.join(scored.where(F.col("likeness") < NEGLIGIBLE).select("a", "b"), ["a", "b"]).select(F.col("b").alias("rep"), "key")
-    return found
+    least = rows.groupBy("key").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
+    star = reliable(rows.join(least, "key").where("rep <> a").select("key", "a", F.col("rep").alias("b")))
+    pairs = (
+        star.select("a", "b").distinct()
+        .join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a")
+        .join(sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b")
+        .select("a", "b", "sa", "sb")
+    )
+    scored = reliable(pairs.mapInArrow(_estimates, "a long, b long, likeness double"))
+    good = scored.where(F.col("likeness") >= NEGLIGIBLE).select("a", "b")
+    return good.union(_parted(star, scored.where(F.col("likeness") < NEGLIGIBLE).select("a", "b"), sigs))
+
+
+def _parted(star: DataFrame, negligible: DataFrame, sigs: DataFrame) -> DataFrame:
+    """Likely pairs of a member that its least member says nothing about and
+    any other member of the bucket."""
+    parted = reliable(star.join(negligible, ["a", "b"]).select("key", "b"))
+    # a bucket's least member is compared already: two others make a pair
+    sizes = star.join(parted.select("key").distinct(), "key").groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    sizes = reliable(
+        parted.groupBy("key").agg(F.count("*").alias("n_parted")).join(sizes, "key")
+        .select("key", F.ceil(F.col("n_parted") / PARTED_ROWS).cast("int").alias("ni"), F.ceil(F.col("n") / MEMBER_ROWS).cast("int").alias("nj"))
+    )
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("b"), F.col(n)).cast("int")
+    left = parted.join(sizes, "key").select("key", own("ni").alias("i"), every("nj").alias("j"), "b", F.lit(True).alias("parted"))
+    right = star.join(sizes, "key").select("key", every("ni").alias("i"), own("nj").alias("j"), "b", F.lit(False).alias("parted"))
+    both = left.union(right).join(sigs.withColumnRenamed("rep", "b"), "b")
+    return map_groups(both.select("key", "i", "j", "b", "parted", "sig"), ["key", "i", "j"], _likely, "a long, b long")
+
+
+def _likely(block: pa.Table) -> pa.Table | None:
+    rep, sides = block.column("b").to_numpy(), block.column("parted").to_numpy(zero_copy_only=False)
+    sig = np.frombuffer(b"".join(block.column("sig").to_pylist()), np.uint8).reshape(-1, SLOTS)
+    ids, at = np.unique(rep, return_inverse=True)
+    root = np.arange(len(ids))
+    left, right = np.flatnonzero(sides), np.flatnonzero(~sides)
+    step = max(1, (1 << 22) // (max(len(right), 1) * SLOTS))
+    for start in range(0, len(left), step):
+        some = left[start : start + step]
+        x, y = np.nonzero((sig[some][:, None] == sig[right]).mean(axis=2) >= NEGLIGIBLE)
+        root = unite(root, at[some[x]], at[right[y]])
+    return spanning(ids, root)
 
 
 def _verified(texts: DataFrame, groups: DataFrame, sizes: DataFrame, words: int, percent: int) -> DataFrame:
