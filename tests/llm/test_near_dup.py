@@ -70,6 +70,15 @@ def test_edge_rows(spark):
     assert got == sorted([(5, 5, 4, False), (4, 5, 4, True), (4, 5, 4, True), (7, 0, 7, True), (8, 0, 8, True), (9, 0, 9, True), (10, 1, 10, True), (11, 1, 10, False), (0, 5, 4, False), (12, 1, 12, True), (13, 1, 12, False)])
 
 
+def test_texts_of_one_document_are_linked(spark):
+    a, b, c = ("a b c d e f", "g h i j k l", "m n o p q r")
+    rows = [(3, a), (5, a), (5, b), (6, b), (7, c), (7, ""), (5, None), (8, c), (9, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(df).collect())
+    assert got == sorted((d, x, d == x) for (d, _), x in zip(rows, brute(rows, 2, 80)[1]))
+    assert sorted(r["doc_id"] for r in neardup.keep_one(df, 2).collect()) == [3, 7, 9]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert neardup.near_duplicates(df).collect() == [] and neardup.keep_one(df).collect() == []

@@ -154,13 +154,28 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80) -> DataF
     stars = _stars(reps)
     groups = connected_components(stars)  # node, component: candidate groups
     links = _verified(texts, groups, reps.select("rep", "n"), words, percent)
-    comps = connected_components(links)
+    firsts, same_id = _several_texts(feats, reps)
+    comps = connected_components(links.union(same_id))
     named = reps.select("h1", "h2", "rep").join(comps, F.col("rep") == F.col("node"), "left").select("h1", "h2", F.coalesce("component", "rep").alias("comp"))
-    out = feats.select("doc_id", "n_shingles", "h1", "h2").join(named, ["h1", "h2"], "left")
-    component = F.coalesce(F.when(F.col("n_shingles") > 0, F.col("comp")), F.col("doc_id"))
+    out = feats.where("n_shingles > 0").join(named, ["h1", "h2"], "left").select("doc_id", "n_shingles", "comp")
+    # a row without shingles goes with the other texts of its document
+    others = firsts.join(comps, F.col("first") == F.col("node"), "left").select("doc_id", F.coalesce("component", "first").alias("comp"))
+    out = out.union(feats.where("n_shingles = 0").join(others, "doc_id", "left").select("doc_id", "n_shingles", "comp"))
+    component = F.coalesce("comp", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def _several_texts(feats: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents whose rows differ in text: ``(doc_id, first)``, one class of
+    each, and the links from it to its other classes."""
+    ends = [f(c).alias(f"{n}_{c}") for c in ("h1", "h2") for n, f in (("min", F.min), ("max", F.max))]
+    several = feats.where("doc_id IS NOT NULL").groupBy("doc_id").agg(*ends).where("min_h1 <> max_h1 OR min_h2 <> max_h2").select("doc_id")
+    mine = feats.where("n_shingles > 0").join(several, "doc_id").select("doc_id", "h1", "h2").distinct()
+    classes = reliable(mine.join(reps.select("h1", "h2", "rep"), ["h1", "h2"]).select("doc_id", "rep"))
+    firsts = classes.groupBy("doc_id").agg(F.min("rep").alias("first"))
+    return firsts, classes.join(firsts, "doc_id").where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b"))
+
+
 def _stars(reps: DataFrame) -> DataFrame:
     """Likely pairs (a, b) that join all likely pairs of every bucket."""
     sigs = reps.select("rep", "sig")
