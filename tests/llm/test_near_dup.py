@@ -113,11 +113,14 @@ def test_unrelated_members_of_a_bucket_part_no_pair(spark, monkeypatch):
     rng = np.random.default_rng(2)
     sig = [rng.integers(0, 256, neardup.SLOTS, dtype=np.uint8) for _ in range(20)]
     sig[15] = sig[12].copy()  # behind twelve unrelated members
-    sig[7] = np.where(np.arange(neardup.SLOTS) < 80, sig[0], sig[7])  # like the least member
-    sig[16] = np.where(np.arange(neardup.SLOTS) >= 80, sig[7], sig[16])  # unlike it, like 7
+    sig[16] = np.where(np.arange(neardup.SLOTS) >= 80, sig[7], sig[16])  # two thirds of 7
+    sig[18] = np.where(np.arange(neardup.SLOTS) >= 150, sig[7], sig[18])  # a third of 7
+    sig[9] = sig[5].copy()  # one component already
     reps = spark.createDataFrame([(i, bytearray(s.tobytes()), [77, 1000 + i]) for i, s in enumerate(sig)], "rep long, sig binary, keys array<long>")
-    got = {r["node"]: r["component"] for r in components.connected_components(neardup._stars(reps)).collect()}
-    assert got == {0: 0, 7: 0, 16: 0, 12: 12, 15: 12}
+    near = spark.createDataFrame([(5, 5), (9, 5)], "node long, component long")
+    alike = neardup._alike(neardup._stars(reps), near, reps, 0.6)
+    got = {r["node"]: r["component"] for r in components.connected_components(alike).collect()}
+    assert got == {7: 7, 16: 7, 12: 12, 15: 12}
 
 
 def test_signatures_estimate_likeness():

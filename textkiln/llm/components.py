@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import reliable
+from .frames import join_counted, reliable
 
 _PAIR = "hi long, lo long"
 #: Links of a task, about, and fewest tasks of a round.
@@ -70,9 +70,10 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", max_round
 
     ``component`` is the least node reachable. Links are first contracted by a
     union-find inside each batch, then alternating large-star and small-star
-    rounds join what lies in different batches. Every aggregate is combined
-    before its shuffle, so a node with many links is no hot key. Links with a
-    null end and self links are ignored; no links give no rows.
+    rounds join what lies in different batches. Aggregates are combined before
+    their shuffle and joins broadcast the few nodes that hold many links, so a
+    node with many links is no hot key. Links with a null end and self links are
+    ignored; no links give no rows.
     """
     pairs = links.select(F.greatest(a, b).cast("long").alias("hi"), F.least(a, b).cast("long").alias("lo")).where(
         F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("hi") > F.col("lo"))
@@ -87,10 +88,10 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", max_round
         tasks = max(MIN_TASKS, mark[0] // TASK_LINKS)
         now = now.coalesce(tasks)
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(now.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).coalesce(tasks).distinct()
-        floor = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(floor, "hi")
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = join_counted(both.where("v > u"), least, "u", 2 * mark[0]).select(F.col("v").alias("hi"), F.col("m").alias("lo")).coalesce(tasks).distinct()
+        floor = large.groupBy("hi").agg(F.min("lo").alias("m"), F.count("*").alias("n"))
+        small = join_counted(large, floor, "hi", mark[0])
         kept, moved = F.struct("hi", F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         both = F.explode(F.when(F.col("lo") > F.col("m"), F.array(kept, moved)).otherwise(F.array(kept)))
         after = reliable(small.select(both.alias("p")).select("p.*").coalesce(tasks).distinct().coalesce(tasks))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -18,6 +19,46 @@ def need_columns(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast(kind).alias(c) for c, kind in columns.items()])
 
 
+def unused(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` has not, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while stem in taken:
+        stem += "_"
+    return stem
+
+
+#: A key is hot when it holds more than one in so many rows, and more rows than this.
+HOT_SHARE, HOT_ROWS = 1000, 10_000
+#: Most rows of a few numbers each that are broadcast, counted before.
+BROADCAST_ROWS = 500_000
+
+
+def join_counted(big: DataFrame, per_key: DataFrame, keys: str | list[str], total: int) -> DataFrame:
+    """Inner join of ``big`` with one row per key; ``per_key.n`` is how many rows
+    of ``big`` hold the key and ``total`` how many rows ``big`` has, about.
+
+    Hot keys are at most ``HOT_SHARE`` rows, so these are broadcast and their
+    rows of ``big`` stay where they are; the others are joined by a shuffle.
+    """
+    keys = [keys] if isinstance(keys, str) else keys
+    limit = max(HOT_ROWS, total // HOT_SHARE)
+    if total <= limit:  # no key can be hot
+        return big.join(per_key, keys).select(*big.columns, *[c for c in per_key.columns if c not in keys])
+    rest = [c for c in per_key.columns if c not in keys]
+    hot = per_key.where(F.col("n") > limit).select(*keys, F.struct(*rest).alias("hot"))
+    tagged = big.join(F.broadcast(hot), keys, "left")
+    columns = [*big.columns, *rest]
+    found = tagged.where("hot IS NOT NULL").select(*big.columns, "hot.*")
+    others = tagged.where("hot IS NULL").select(*big.columns).join(per_key.where(F.col("n") <= limit), keys)
+    return found.select(columns).union(others.select(columns))
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, a written table of few narrow columns, marked for broadcast where
+    it is counted to have few rows."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def reliable(df: DataFrame) -> DataFrame:
     """Cut the lineage with files in the cluster's shared checkpoint folder.
 
@@ -56,6 +97,14 @@ def bound_batches(spark: SparkSession) -> None:
             spark.conf.set(name, str(bound))
 
 
+def give_back() -> None:
+    """Hand freed memory back to the machine: an idle worker keeps none of it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -86,6 +135,7 @@ def map_texts(df: DataFrame, column: str, fn: Callable[[pa.RecordBatch], pa.Reco
         for batch in batches:
             for piece in slices(batch, column):
                 yield fn(piece)
+        give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -121,7 +171,9 @@ def map_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.Table
             held.append(batch.slice(start))
         if held:
             out = fn(pa.Table.from_batches(held))
+            held = []
             if out is not None and out.num_rows:
                 yield from out.combine_chunks().to_batches()
+        give_back()
 
     return dealt.mapInArrow(run, schema)

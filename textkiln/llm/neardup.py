@@ -3,19 +3,22 @@
 1. Each document becomes its set of word shingles; equal sets form one class,
    so exact copies cost one row from here on, however many there are.
 2. Class representatives get a SuperMinHash signature, cut into bands. A bucket
-   is a band with equal values. Instead of all pairs, every bucket pairs its
-   members with its least member only: links grow with rows, not with squares.
-3. Those pairs with any estimated likeness connect into candidate groups. A
-   member whose likeness to the least one is negligible is compared with every
-   other member of its bucket, in blocks, so an unrelated least member does not
-   part two others: what shares a bucket and is alike is in one group.
-4. Inside a candidate group all pairs are verified on the full sets, in blocks
-   of bounded weight: a group of any size is spread over block pairs. A block
-   pair returns only the spanning links of what it found.
-5. Union-find over those links gives the components.
+   is a band with equal values. Every bucket pairs its members with its least
+   member only: links grow with rows, not with squares.
+3. Star pairs whose signatures are alike are verified on the full sets; what
+   they link is one component and needs no further comparison.
+4. A bucket whose other members are of several components is open. There every
+   member outside the main component is compared, by signature and in blocks,
+   with the members of other components. Those that are alike form groups.
+5. Inside a group all pairs are verified on the full sets, in blocks of bounded
+   weight: a group of any size is spread over block pairs, and a block pair
+   returns only the spanning links of what it found.
+6. Union-find over the verified links gives the components.
 
 With 36 bands of 6 slots, a pair of similarity 0.8 shares no band with
-probability (1 - 0.8**6)**36 = 2e-5, one of 0.85 with 4e-8.
+probability (1 - 0.8**6)**36 = 2e-5, one of 0.85 with 4e-8. A verified pair is
+one whose signatures agree in a share of ``percent`` less ``MARGIN``, which is
+six standard deviations of the estimate or more.
 """
 
 from __future__ import annotations
@@ -27,16 +30,19 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
 from .components import connected_components, spanning, unite
-from .frames import map_groups, map_texts, need_columns, reliable
+from .frames import bound_batches, give_back, join_counted, map_groups, map_texts, need_columns, reliable, shuffle_width, small, unused
 from .shingles import shingle_set
 from .superminhash import band_keys, signatures
 
 SLOTS, BANDS, ROWS = 223, 36, 6
-#: Estimates under this are noise for pairs of the wanted similarity (0.8).
-NEGLIGIBLE = 0.3
+#: How far an estimate may lie below the wanted similarity.
+MARGIN = 0.2
+#: Links of a bucket's or class's least member that are verified in one task.
+STAR_ROWS = 2048
 #: Most members and most shingles of a block, about.
-BLOCK_ROWS, BLOCK_SHINGLES = 512, 1_500_000
-#: Parted members and other members of a bucket that are compared at once.
+BLOCK_ROWS, BLOCK_SHINGLES = 512, 500_000
+#: Members outside the main component and other members of an open bucket that
+#: are compared at once.
 PARTED_ROWS, MEMBER_ROWS = 512, 2048
 
 _FEATURES = "doc_id long, n_shingles long, h1 long, h2 long, sig binary, keys array<long>"
@@ -75,17 +81,59 @@ def _estimates(batches):
 
 
 def _sets(words: int):
+    """The set of each row's text whose digest is that of the row's class."""
+
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [shingle_set(t, words) for t in batch.column(1).to_pylist()]
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array([s.tobytes() for s in sets], pa.large_binary()).cast(pa.binary())],
-            names=["doc_id", "grp", "shingles"],
-        )
+        ids, blobs = [], []
+        for doc_id, text, *digest in zip(*(c.to_pylist() for c in batch.columns)):
+            blob = shingle_set(text, words).tobytes()
+            if _digest(blob) == digest:
+                ids.append((doc_id, *digest))
+                blobs.append(blob)
+        cols = [pa.array(c, pa.int64()) for c in (zip(*ids) if ids else [()] * 3)]
+        return pa.RecordBatch.from_arrays([*cols, pa.array(blobs, pa.large_binary()).cast(pa.binary())], names=["node", "h1", "h2", "shingles"])
 
     return fn
 
 
-def linked_pairs(sets: list[np.ndarray], percent: int, chunk: int = 1 << 23) -> np.ndarray:
+def _digest(blob: bytes) -> list[int]:
+    return np.frombuffer(xxh3_128_digest(blob), ">i8").tolist()
+
+
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted distinct arrays are at least ``percent`` alike."""
+    if not len(a) or 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    at = np.searchsorted(a, b)
+    at[at == len(a)] = 0
+    both = int((a[at] == b).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def _against_first(percent: int):
+    """Rows come sorted by star and side: its centre, then the others. Only the
+    centre's set is held (or sets, of a document of several texts)."""
+
+    def run(batches):
+        star, centres = None, []
+        for batch in batches:
+            a, b = [], []
+            for hub, part, side, node, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                if star != (hub, part):
+                    star, centres = (hub, part), []
+                shingles = np.frombuffer(blob, np.uint64)
+                if side == 0:
+                    centres.append(shingles)
+                elif any(similar(c, shingles, percent) for c in centres):
+                    a.append(hub)
+                    b.append(node)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        give_back()
+
+    return run
+
+
+def linked_pairs(sets: list[np.ndarray], percent: int, chunk: int = 1 << 21) -> np.ndarray:
     """Matrix of the pairs with ``100 * intersection >= percent * union``.
 
     Counts come from products of 0/1 matrices over slices of the vocabulary,
@@ -113,12 +161,13 @@ def linked_pairs(sets: list[np.ndarray], percent: int, chunk: int = 1 << 23) ->
 
 def _verify(percent: int):
     def fn(group: pa.Table) -> pa.Table | None:
-        ids = group.column("doc_id").to_numpy()
+        ids = group.column("node").to_numpy()
         if len(ids) < 2:
             return None
         sets = [np.frombuffer(s, np.uint64) for s in group.column("shingles").to_pylist()]
         link = linked_pairs(sets, percent)
         best = ids.copy()
+        link |= ids[:, None] == ids[None, :]  # texts of one document
         while True:
             least = np.where(link, best[None, :], best[:, None]).min(axis=1)
             if (least == best).all():
@@ -135,32 +184,36 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80) -> DataF
 
     Two documents are linked when ``100 * |A & B| >= percent * |A | B|`` for
     their sets of ``words``-word shingles; ``component_id`` is the least
-    ``doc_id`` reachable and ``kept`` marks that document.
+    ``doc_id`` reachable and ``kept`` marks that document. ``percent`` is 80 or
+    more: the bands are made for that.
 
     Null, empty and blank texts have no shingles, are linked with nothing and
-    kept. A text of fewer words is one shingle. Rows repeating a ``doc_id`` are
-    one document that has the links of all its rows. A null ``doc_id`` names no
-    document: such a row takes the component of its text's class, or null. An
-    empty table gives no rows; other columns are ignored.
+    kept. A text of fewer words is one shingle; a text of any length is taken
+    whole. A pair exactly at ``percent`` is linked. Rows repeating a ``doc_id``
+    are one document that has the links of all its rows. A null ``doc_id`` names
+    no document: such a row takes the component of its text's class, or null.
+    An empty table gives no rows; other columns are ignored, whatever their names.
     """
+    if percent < 80:
+        raise ValueError("percent must be 80 or more")
     texts = need_columns(docs, doc_id="long", text="string")
     feats = reliable(map_texts(texts, "text", _features(words), _FEATURES))
     reps = reliable(
         feats.where("n_shingles > 0")
         .groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("keys").alias("keys"))
+        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("keys").alias("keys"))
         .where("rep IS NOT NULL")
     )
-    stars = _stars(reps)
-    groups = connected_components(stars)  # node, component: candidate groups
-    links = _verified(texts, groups, reps.select("rep", "n"), words, percent)
     firsts, same_id = _several_texts(feats, reps)
-    comps = connected_components(links.union(same_id))
-    named = reps.select("h1", "h2", "rep").join(comps, F.col("rep") == F.col("node"), "left").select("h1", "h2", F.coalesce("component", "rep").alias("comp"))
-    out = feats.where("n_shingles > 0").join(named, ["h1", "h2"], "left").select("doc_id", "n_shingles", "comp")
+    comps = connected_components(_links(texts, reps, words, percent).union(same_id))
+    named = reps.select("h1", "h2", "rep", F.col("rows").alias("n")).join(comps, F.col("rep") == F.col("node"), "left").select("h1", "h2", "n", F.coalesce("component", "rep").alias("comp"))
+    # a class without an id holds null ids only
+    lone = feats.where("n_shingles > 0 AND doc_id IS NULL").join(reps.select("h1", "h2"), ["h1", "h2"], "left_anti").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("comp"))
+    with_set = feats.where("n_shingles > 0").select("doc_id", "n_shingles", "h1", "h2")
+    out = join_counted(with_set, named, ["h1", "h2"], feats.count()).select("doc_id", "n_shingles", "comp").union(lone)
     # a row without shingles goes with the other texts of its document
     others = firsts.join(comps, F.col("first") == F.col("node"), "left").select("doc_id", F.coalesce("component", "first").alias("comp"))
-    out = out.union(feats.where("n_shingles = 0").join(others, "doc_id", "left").select("doc_id", "n_shingles", "comp"))
+    out = out.union(feats.where("n_shingles = 0").select("doc_id", "n_shingles").join(others, "doc_id", "left").select("doc_id", "n_shingles", "comp"))
     component = F.coalesce("comp", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
@@ -169,90 +222,139 @@ def _several_texts(feats: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFr
     """Documents whose rows differ in text: ``(doc_id, first)``, one class of
     each, and the links from it to its other classes."""
     ends = [f(c).alias(f"{n}_{c}") for c in ("h1", "h2") for n, f in (("min", F.min), ("max", F.max))]
-    several = feats.where("doc_id IS NOT NULL").groupBy("doc_id").agg(*ends).where("min_h1 <> max_h1 OR min_h2 <> max_h2").select("doc_id")
-    mine = feats.where("n_shingles > 0").join(several, "doc_id").select("doc_id", "h1", "h2").distinct()
+    several = reliable(feats.where("doc_id IS NOT NULL").groupBy("doc_id").agg(*ends).where("min_h1 <> max_h1 OR min_h2 <> max_h2").select("doc_id"))
+    mine = feats.where("n_shingles > 0").join(small(several), "doc_id").select("doc_id", "h1", "h2").distinct()
     classes = reliable(mine.join(reps.select("h1", "h2", "rep"), ["h1", "h2"]).select("doc_id", "rep"))
     firsts = classes.groupBy("doc_id").agg(F.min("rep").alias("first"))
     return firsts, classes.join(firsts, "doc_id").where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b"))
 
 
+def _links(texts: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
+    """Verified links ``(a, b)`` that join all similar representatives."""
+    likely = percent / 100 - MARGIN
+    star = _stars(reps)
+    scored = _scored(star, reps)
+    pairs = reliable(scored.where(F.col("likeness") >= likely).select("a", "b").distinct())
+    nodes = reliable(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    sets = _sets_of(texts, reps, nodes, words)
+    near = connected_components(_verified_stars(pairs, sets, percent))
+    alike = reliable(_alike(star, near, reps, likely))
+    links = near.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    if alike.isEmpty():
+        return links
+    groups = connected_components(alike)
+    more = groups.select("node").join(nodes, "node", "left_anti")
+    sets = sets.union(_sets_of(texts, reps, reliable(more), words))
+    return links.union(_verified_groups(groups, sets, reps, percent))
+
+
 def _stars(reps: DataFrame) -> DataFrame:
-    """Likely pairs (a, b) that join all likely pairs of every bucket."""
-    sigs = reps.select("rep", "sig")
-    rows = reps.select("rep", F.explode("keys").alias("key"))
-    least = rows.groupBy("key").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
-    star = reliable(rows.join(least, "key").where("rep <> a").select("key", "a", F.col("rep").alias("b")))
-    pairs = (
-        star.select("a", "b").distinct()
-        .join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a")
-        .join(sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b")
-        .select("a", "b", "sa", "sb")
-    )
-    scored = reliable(pairs.mapInArrow(_estimates, "a long, b long, likeness double"))
-    good = scored.where(F.col("likeness") >= NEGLIGIBLE).select("a", "b")
-    return good.union(_parted(star, scored.where(F.col("likeness") < NEGLIGIBLE).select("a", "b"), sigs))
-
-
-def _parted(star: DataFrame, negligible: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Likely pairs of a member that its least member says nothing about and
-    any other member of the bucket."""
-    parted = reliable(star.join(negligible, ["a", "b"]).select("key", "b"))
-    # a bucket's least member is compared already: two others make a pair
-    sizes = star.join(parted.select("key").distinct(), "key").groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    sizes = reliable(
-        parted.groupBy("key").agg(F.count("*").alias("n_parted")).join(sizes, "key")
-        .select("key", F.ceil(F.col("n_parted") / PARTED_ROWS).cast("int").alias("ni"), F.ceil(F.col("n") / MEMBER_ROWS).cast("int").alias("nj"))
-    )
+    """``(key, b, a)``: each member of a bucket but the least, which is ``a``."""
+    rows = reps.select(F.col("rep").alias("b"), F.explode("keys").alias("key"))
+    least = rows.groupBy("key").agg(F.min("b").alias("a"), F.count("*").alias("n")).where("n > 1")
+    return reliable(join_counted(rows, least, "key", BANDS * reps.count()).where("a <> b").select("key", "a", "b"))
+
+
+def _scored(star: DataFrame, reps: DataFrame) -> DataFrame:
+    """Estimated likeness of the stars' pairs, each pair once."""
+    pairs = reliable(star.select("a", "b").distinct())
+    left = pairs.join(reps.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b")
+    hubs = pairs.groupBy("a").agg(F.count("*").alias("n")).join(reps.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a")
+    both = join_counted(left, hubs, "a", pairs.count()).select("a", "b", "sa", "sb")
+    bound_batches(star.sparkSession)
+    return reliable(both.mapInArrow(_estimates, "a long, b long, likeness double"))
+
+
+def _sets_of(texts: DataFrame, reps: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """``(node, shingles)``: the set of each representative among ``nodes``. Only
+    their texts leave their place where ``nodes`` is too long to be broadcast."""
+    wanted = reliable(nodes.join(reps.select(F.col("rep").alias("node"), "h1", "h2"), "node"))
+    some = texts.join(small(wanted), texts.doc_id == wanted.node).select("doc_id", "text", "h1", "h2")
+    made = map_texts(some, "text", _sets(words), "node long, h1 long, h2 long, shingles binary")
+    made = made.groupBy("node", "h1", "h2").agg(F.first("shingles").alias("shingles"))  # of equal rows one
+    return reliable(made.select("node", "shingles"))
+
+
+def _verified_stars(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    parts = reliable(pairs.groupBy("a").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / STAR_ROWS).cast("int")))
+    centres = parts.select(F.col("a").alias("node"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"))
+    others = join_counted(pairs, parts, "a", pairs.count()).select(F.col("b").alias("node"), "a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("side"))
+    rows = centres.union(others).join(sets, "node").select("a", "part", "side", "node", "shingles")
+    bound_batches(pairs.sparkSession)
+    dealt = rows.repartition(shuffle_width(pairs.sparkSession), "a", "part").sortWithinPartitions("a", "part", "side")
+    return dealt.mapInArrow(_against_first(percent), "a long, b long")
+
+
+def _alike(star: DataFrame, near: DataFrame, reps: DataFrame, likely: float) -> DataFrame:
+    """Spanning links of the pairs of open buckets that are alike by signature
+    and of different components. A bucket's least member is compared already."""
+    named = reliable(star.join(near.withColumnRenamed("node", "b"), "b", "left").select("key", "b", F.coalesce("component", "b").alias("comp")))
+    sizes = named.groupBy("key", "comp").agg(F.count("*").alias("k"))
+    sizes = sizes.groupBy("key").agg(F.sum("k").alias("n"), F.count("*").alias("comps"), F.max(F.struct("k", "comp")).alias("main")).where("comps > 1")
+    blocks = lambda rows, most: F.ceil(rows / most).cast("int")
+    sizes = reliable(sizes.select("key", "n", F.col("main.comp").alias("main"), blocks(F.col("n") - F.col("main.k"), PARTED_ROWS).alias("ni"), blocks(F.col("n"), MEMBER_ROWS).alias("nj")))
+    rows = reliable(join_counted(named, sizes, "key", named.count()))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own = lambda n: F.pmod(F.xxhash64("b"), F.col(n)).cast("int")
-    left = parted.join(sizes, "key").select("key", own("ni").alias("i"), every("nj").alias("j"), "b", F.lit(True).alias("parted"))
-    right = star.join(sizes, "key").select("key", every("ni").alias("i"), own("nj").alias("j"), "b", F.lit(False).alias("parted"))
-    both = left.union(right).join(sigs.withColumnRenamed("rep", "b"), "b")
-    return map_groups(both.select("key", "i", "j", "b", "parted", "sig"), ["key", "i", "j"], _likely, "a long, b long")
-
-
-def _likely(block: pa.Table) -> pa.Table | None:
-    rep, sides = block.column("b").to_numpy(), block.column("parted").to_numpy(zero_copy_only=False)
-    sig = np.frombuffer(b"".join(block.column("sig").to_pylist()), np.uint8).reshape(-1, SLOTS)
-    ids, at = np.unique(rep, return_inverse=True)
-    root = np.arange(len(ids))
-    left, right = np.flatnonzero(sides), np.flatnonzero(~sides)
-    step = max(1, (1 << 22) // (max(len(right), 1) * SLOTS))
-    for start in range(0, len(left), step):
-        some = left[start : start + step]
-        x, y = np.nonzero((sig[some][:, None] == sig[right]).mean(axis=2) >= NEGLIGIBLE)
-        root = unite(root, at[some[x]], at[right[y]])
-    return spanning(ids, root)
-
-
-def _verified(texts: DataFrame, groups: DataFrame, sizes: DataFrame, words: int, percent: int) -> DataFrame:
-    """Spanning links of the truly similar pairs inside each candidate group."""
-    members = reliable(groups.join(sizes, F.col("node") == F.col("rep")).select(F.col("node").alias("doc_id"), F.col("component").alias("grp"), "n"))
-    weight = members.groupBy("grp").agg(F.count("*").alias("k"), F.sum("n").alias("n"))
-    blocks = weight.select("grp", F.greatest(F.ceil(F.col("k") / BLOCK_ROWS), F.ceil(F.col("n") / BLOCK_SHINGLES)).cast("int").alias("nb"))
-    texts = texts.join(members.select("doc_id", "grp").distinct(), "doc_id").select("doc_id", "text", "grp")
-    sets = map_texts(texts, "text", _sets(words), "doc_id long, grp long, shingles binary")
-    own = F.pmod(F.xxhash64("doc_id"), F.col("nb")).cast("int")
+    left = rows.where("comp <> main").select("key", own("ni").alias("i"), every("nj").alias("j"), "b", "comp", F.lit(True).alias("parted"))
+    right = rows.select("key", every("ni").alias("i"), own("nj").alias("j"), "b", "comp", F.lit(False).alias("parted"))
+    both = left.union(right).join(reps.select(F.col("rep").alias("b"), "sig"), "b")
+    return map_groups(both.select("key", "i", "j", "b", "comp", "parted", "sig"), ["key", "i", "j"], _likely(likely), "a long, b long").distinct()
+
+
+def _likely(least: float):
+    def fn(block: pa.Table) -> pa.Table | None:
+        rep, comp, sides = block.column("b").to_numpy(), block.column("comp").to_numpy(), block.column("parted").to_numpy(zero_copy_only=False)
+        left, right = np.flatnonzero(sides), np.flatnonzero(~sides)
+        if not len(left) or not len(right):
+            return None
+        sig = np.frombuffer(b"".join(block.column("sig").to_pylist()), np.uint8).reshape(-1, SLOTS)
+        ids, at = np.unique(rep, return_inverse=True)
+        root = np.arange(len(ids))
+        step = max(1, (1 << 22) // (len(right) * SLOTS))
+        for start in range(0, len(left), step):
+            some = left[start : start + step]
+            x, y = np.nonzero((sig[some][:, None] == sig[right]).mean(axis=2) >= least)
+            apart = comp[some[x]] != comp[right[y]]
+            root = unite(root, at[some[x[apart]]], at[right[y[apart]]])
+        return spanning(ids, root)
+
+    return fn
+
+
+def _verified_groups(groups: DataFrame, sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Spanning links of the truly similar pairs inside each group."""
+    sizes = groups.join(reps.select(F.col("rep").alias("node"), F.col("n").alias("size")), "node")
+    members = reliable(sizes.groupBy("node", F.col("component").alias("grp")).agg(F.sum("size").alias("size")))
+    weight = members.groupBy("grp").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    blocks = reliable(weight.select("grp", "n", F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("int").alias("nb")))
     spread = (
-        sets.join(blocks, "grp")
-        .withColumn("own", own)
+        join_counted(members, blocks, "grp", members.count())
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-        .select("grp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc_id", "shingles")
+        .select("grp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node")
+        .join(sets, "node")
     )
-    return map_groups(spread, ["grp", "i", "j"], _verify(percent), "a long, b long")
+    return map_groups(spread.select("grp", "i", "j", "node", "shingles"), ["grp", "i", "j"], _verify(percent), "a long, b long")
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each group of near copies, the one of least
-    ``doc_id``; all columns as they came.
+    ``doc_id``; all columns as they came, whatever their names.
 
     Of rows that repeat a kept ``doc_id`` one stays, the first by hash of its
-    text. Rows without a ``doc_id`` name no document and all stay.
+    text and, of equal texts, any. Rows without a ``doc_id`` name no document
+    and all stay. Null, empty and blank texts are like nothing and stay; texts
+    of any length are taken whole. An empty table gives no rows.
     """
-    found = near_duplicates(docs, words, percent)
-    kept = found.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept")).distinct()
-    rows = docs.withColumn("__id", F.col("doc_id").cast("long"))
-    named = rows.where("__id IS NOT NULL").join(kept, F.col("__id") == F.col("__kept"), "left_semi")
-    first = Window.partitionBy("__id").orderBy(F.xxhash64("text"))
-    named = named.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
-    return named.unionByName(rows.where("__id IS NULL")).drop("__id")
+    found = reliable(near_duplicates(docs, words, percent).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.bool_or("kept").alias("kept")))
+    rid, place = unused(docs, "id"), unused(docs, "place")
+    rows = docs.withColumn(rid, F.col("doc_id").cast("long"))
+    # most texts stay where they are: only ids to look at are moved
+    apart = reliable(found.where("NOT kept OR n > 1").select(F.col("doc_id").alias(rid)))
+    repeated = reliable(found.where("kept AND n > 1").select(F.col("doc_id").alias(rid)))
+    single = rows.join(small(apart), rid, "left_anti")
+    first = Window.partitionBy(rid).orderBy(F.xxhash64("text"))
+    several = rows.join(small(repeated), rid, "left_semi").withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).drop(place)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return single.select(columns).union(several.select(columns))
