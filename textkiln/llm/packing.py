@@ -7,12 +7,15 @@ dual-feasible functions certify a partition whose bins they meet, and the whole
 packing where the sum of the bins meets the bound of all lengths together. As
 long as there is a gap, the unfilled bins of partitions with gaps (of all
 partitions, where each is certified but not the whole) are dealt anew so that
-documents of different partitions meet, and are packed again; a new packing is
-taken only where it needs fewer sequences.
+documents of different partitions meet, and are packed again, in several orders
+near the decreasing one; a new packing is taken only where it needs fewer
+sequences. Exchanges end with the gap, or when several in turn gained nothing:
+the least number itself is a hard problem.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from functools import lru_cache
@@ -26,10 +29,9 @@ from .frames import map_groups, map_texts, need_columns, reliable
 
 CAPACITY = 1024
 END_ID = 2
-#: Items of a partition, about; and most exchanges.
-PART_ITEMS, EXCHANGES = 50_000, 4
-#: Words longer than this many bytes take the tokenizer whose time is not quadratic in them.
-LONG_WORD = 5_000
+#: Items of a partition, about; exchanges without a gain that end the packing;
+#: and orders in which a partition with a gap is packed.
+PART_ITEMS, PATIENCE, ORDERS = 50_000, 3, 6
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -41,37 +43,41 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: Runs of blanks over which the ranks' coder runs out of stack.
+_BLANK_RUN = re.compile(r"\s{2000}")
+
+
+@lru_cache(maxsize=2)
+def _file_coder(name: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(vocabulary(f"{name}.json"))
+
+
 @lru_cache(maxsize=2)
 def _rank_coder(name: str):
+    """The same vocabulary and special tokens, several times faster."""
     import base64
 
     import public_tokenizers
     import tiktoken
 
-    with open(vocabulary(name), "rb") as file:
+    with open(vocabulary(f"{name}.tiktoken"), "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-
-@lru_cache(maxsize=2)
-def _file_coder(name: str):
-    from tokenizers import Tokenizer
-
-    coder = Tokenizer.from_file(vocabulary(name))
-    coder.encode_special_tokens = True
-    return coder
+    special = {t.content: i for i, t in _file_coder(name).get_added_tokens_decoder().items()}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def encode(text: str, name: str = "byte_bpe_50k") -> list[int]:
-    """Token ids of a text; strings of special tokens in it are ordinary text.
+    """Token ids of a text, those of the tokenizer file without added ones; the
+    string of a special token in a text is that token.
 
-    The ranks and the tokenizer file hold one vocabulary and give the same ids;
-    the ranks' coder is several times faster but takes the square of a word's
-    length.
+    The ranks' coder gives the same ids. It cannot take very long runs of
+    blanks; texts with such a run take the file's coder.
     """
-    if len(text) > LONG_WORD and max(map(len, text.encode("utf-8", "replace").split()), default=0) > LONG_WORD:
-        return _file_coder(f"{name}.json").encode(text, add_special_tokens=False).ids
-    return _rank_coder(f"{name}.tiktoken").encode_ordinary(text)
+    if _BLANK_RUN.search(text):
+        return _file_coder(name).encode(text, add_special_tokens=False).ids
+    return _rank_coder(name).encode(text, allowed_special="all")
 
 
 def cuts(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -97,14 +103,15 @@ def _tokenize(name: str, capacity: int):
     return fn
 
 
-def best_fit_decreasing(sizes: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
+def best_fit_decreasing(sizes: np.ndarray, capacity: int = CAPACITY, order: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Bin and offset of each item. Bins are found by their room: a bit mask of
     the rooms in use gives the tightest fit in constant time."""
+    order = np.argsort(-sizes, kind="stable") if order is None else order
     bins = np.empty(len(sizes), np.int64)
     offset = np.empty(len(sizes), np.int64)
     by_room: list[list[int]] = [[] for _ in range(capacity + 1)]
     rooms, made = 0, 0
-    for i in np.argsort(-sizes, kind="stable").tolist():
+    for i in order.tolist():
         size = int(sizes[i])
         fits = rooms >> size
         if fits:
@@ -156,14 +163,30 @@ def bound_of_counts(count: np.ndarray, capacity: int = CAPACITY) -> int:
 _PACKED = "uid long, length long, bin long, offset long, fill long, gap long"
 
 
-def _pack(capacity: int):
+def fewest(sizes: np.ndarray, capacity: int, orders: int, seed: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Bins, offsets and bound of the best of several packings; the first is
+    best-fit decreasing, the others let sizes that are near change places."""
+    bound = lower_bound(sizes, capacity)
+    rng = np.random.default_rng(seed)
+    bins, offset = best_fit_decreasing(sizes, capacity)
+    for i in range(1, orders):
+        if bins.max() + 1 <= bound:
+            break
+        shaken = sizes * (1 + 0.03 * i * rng.random(len(sizes)))
+        other = best_fit_decreasing(sizes, capacity, np.argsort(-shaken, kind="stable"))
+        if other[0].max() < bins.max():
+            bins, offset = other
+    return bins, offset, bound
+
+
+def _pack(capacity: int, orders: int, seed: int):
     """Pack one partition; the bin's name is the least uid that it holds."""
 
     def fn(group: pa.Table) -> pa.Table:
         uid, sizes = group.column("uid").to_numpy(), group.column("length").to_numpy()
         order = np.argsort(uid, kind="stable")
         uid, sizes = uid[order], sizes[order]
-        bins, offset = best_fit_decreasing(sizes, capacity)
+        bins, offset, bound = fewest(sizes, capacity, orders, seed)
         made = int(bins.max()) + 1
         old = len(np.unique(group.column("bin").to_numpy())) if "bin" in group.column_names else None
         if old is not None and old <= made:
@@ -174,18 +197,18 @@ def _pack(capacity: int):
             np.minimum.at(name, bins, uid)
             fill = np.bincount(bins, sizes, made).astype(np.int64)[bins]
             name = name[bins]
-        gap = made - lower_bound(sizes, capacity)
-        return pa.table({"uid": uid, "length": sizes, "bin": name, "offset": offset, "fill": fill, "gap": np.full(len(uid), gap)})
+        return pa.table({"uid": uid, "length": sizes, "bin": name, "offset": offset, "fill": fill, "gap": np.full(len(uid), made - bound)})
 
     return fn
 
 
-def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, part_items: int = PART_ITEMS) -> DataFrame:
+def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, part_items: int = PART_ITEMS, patience: int = PATIENCE, orders: int = ORDERS) -> DataFrame:
     """``(uid, bin, offset)`` for rows ``(uid, length)``, each shorter than a sequence.
 
-    Full bins are done, and so are those of certified partitions while others
-    have gaps. The rest is dealt again, whole bins together, into as few
-    partitions as the bound on a partition's items allows.
+    In an exchange full bins stay, and so do those of certified partitions
+    while others have gaps. The rest is dealt again, whole bins together and
+    with as many full ones, into as few partitions as the bound on a
+    partition's items allows.
     """
     items = pieces.select("uid", "length")
     # at most as many rows as there are lengths
@@ -195,27 +218,32 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, part_items: int = P
     bound = bound_of_counts(count, capacity)
     parts = max(1, -(-int(count.sum()) // part_items))
     dealt = items.withColumn("part", F.pmod(F.xxhash64("uid"), F.lit(parts)))
-    done, made = None, 0
-    for turn in range(EXCHANGES + 1):
-        packed = reliable(map_groups(dealt, ["part"], _pack(capacity), _PACKED, parts=min(parts, 10_000)))
+    done, best, idle, turn, made = None, None, 0, 0, 0
+    while True:
+        packed = reliable(map_groups(dealt, ["part"], _pack(capacity, orders, turn), _PACKED, parts=min(parts, 10_000)))
         bins = packed.groupBy("bin").agg(F.first("fill").alias("fill"), F.first("gap").alias("gap"))
-        seen = bins.agg(F.count("*").alias("n"), F.count_if(F.col("gap") > 0).alias("gap"), F.count_if(F.col("fill") == capacity).alias("full")).first()
-        ended = made + seen["n"] <= bound or turn == EXCHANGES or (turn and parts == 1)
+        seen = bins.agg(F.count("*").alias("n"), F.count_if(F.col("gap") > 0).alias("gap"), F.count_if(F.col("fill") < capacity).alias("open")).first()
+        now = made + seen["n"]
+        idle = 0 if best is None or now < best else idle + 1
+        best = now
+        ended = now <= bound or idle > patience or not seen["open"]
         if ended:
             stays = F.lit(True)
-        elif seen["gap"]:
-            stays = (F.col("gap") <= 0) | (F.col("fill") == capacity)
         else:
-            stays = F.col("fill") == capacity
+            # full bins that go along, about as many as are not full, lend their items
+            lent = F.pmod(F.xxhash64("bin", F.lit(-turn)), F.lit(max(1, seen["n"] // max(seen["open"], 1)))) == 0
+            stays = (F.col("fill") == capacity) & ~lent
+            if seen["gap"]:
+                stays = stays | (F.col("gap") <= 0)
         rows = packed.where(stays).select("uid", "bin", "offset")
         done = rows if done is None else done.union(rows)
         if ended:
-            break
+            return done
         made += bins.where(stays).count()
         left = packed.where(~stays)
+        turn += 1
         parts = max(1, -(-left.count() // part_items))
         dealt = left.select("uid", "length", "bin", "offset", "fill", F.pmod(F.xxhash64("bin", F.lit(turn)), F.lit(parts)).alias("part"))
-    return done
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary_name: str = "byte_bpe_50k") -> DataFrame:
