@@ -223,3 +223,59 @@ def test_automaton_against_regular_expressions():
         pattern = re.compile("(?s:" + re.sub(r"\*\*|\*|\?", lambda m: {"**": ".*", "*": "[^/]*", "?": "[^/]"}[m[0]], glob) + r")\Z")
         for t, text in enumerate(texts):
             assert hits[t, g] == bool(pattern.match(text)), (glob, text)
+
+
+def test_quality_scores_against_a_plain_softmax(spark):
+    import xxhash
+
+    rng = random.Random(4)
+    model = quality_model.Model(np.random.default_rng(1).normal(size=quality_model.BUCKETS).astype(np.float32), 0.3, 1.7, -0.2)
+    mask = 2**64 - 1
+
+    def mix(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & mask
+        return x ^ (x >> 31)
+
+    def plain(text):
+        words = [xxhash.xxh3_64_intdigest(w) for w in text.encode().split()]
+        made = [w + quality_model._WORD for w in words]
+        made += [mix(a + quality_model._PAIR & mask) + b for a, b in zip(words, words[1:])]
+        for n in (3, 4, 5):
+            for i in range(len(text) - n + 1):
+                h = n
+                for c in text[i : i + n]:
+                    h = mix(h + ord(c) & mask)
+                made.append(h)
+        parts = [float(model.table[mix(h & mask) >> (64 - 17)]) for h in made]
+        z = 1.7 * ((sum(parts) / len(parts) if parts else 0) + 0.3) - 0.2
+        return math.exp(z) / (math.exp(0) + math.exp(z))
+
+    texts = ["", "a", "é ü Жук жук", "one one two", "w " * 50_000, " \n", *(prose(rng, i % 2) for i in range(10))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in quality_model.score(df, model).collect()}
+    assert all(got[i] == pytest.approx(plain(t), abs=1e-5) for i, t in enumerate(texts))
+
+
+def test_toxicity_scores_against_plain_compression(spark):
+    import zstandard
+
+    docs, labels = labelled(spark, insult, "toxic")
+    model = toxicity.fit(docs, labels)
+    assert model.toxic and b"zstd" not in model.toxic
+
+    def size(dictionary, data):
+        how = zstandard.ZstdCompressionParameters(strategy=zstandard.STRATEGY_GREEDY, min_match=4, window_log=19, chain_log=16, hash_log=16, search_log=4, target_length=16, write_content_size=False, write_checksum=False, write_dict_id=False)
+        return len(zstandard.ZstdCompressor(compression_params=how, dict_data=zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)).compress(data))
+
+    def plain(text):
+        w = text.lower().split()
+        cut = [" " + " ".join(w[i : i + 8]) + " " for i in range(0, len(w), 4) if i == 0 or i + 4 < len(w)]
+        gains = [size(model.ordinary, model.ordinary[-40:] + c.encode()) - size(model.toxic + model.ordinary, model.ordinary[-40:] + c.encode()) for c in cut]
+        best = sorted([0, 0, *gains])[::-1]
+        z = model.weights[0] * best[0] + model.weights[1] * best[1] + model.weights[2] * (sum(gains) / len(gains) if gains else 0) + model.bias
+        return 1 / (1 + math.exp(-z))
+
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    for r in docs.limit(40).collect():
+        assert got[r["doc_id"]] == pytest.approx(plain(r["text"]), abs=1e-6)

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -28,11 +28,13 @@ from .shingles import mix64
 BUCKETS, DIM = 1 << 17, 12
 #: Labelled rows used of each class, at most: those whose hashed id is least.
 SAMPLE_PER_CLASS = 1200
+#: Bytes of their texts, about, of each class.
+SAMPLE_BYTES = 8 << 20
 EPOCHS, RATE = 6, 0.3
 CHAR_GRAMS = (3, 4, 5)
 THRESHOLD = 0.3
 
-_WORD, _PAIR, _TWICE = 0x51ED270B, 0x9E3779B9, 0x2545F491
+_WORD, _PAIR = 0x51ED270B, 0x9E3779B9
 _SHIFT = np.uint64(64 - BUCKETS.bit_length() + 1)
 
 
@@ -41,10 +43,7 @@ def _buckets(h: np.ndarray) -> np.ndarray:
 
 
 def features(text: str | None) -> np.ndarray:
-    """Bucket of every feature of a whole text, in no order, with repeats.
-
-    A word that follows itself makes the pair that all such words share.
-    """
+    """Bucket of every feature of a whole text, in no order, with repeats."""
     if not text:
         return np.empty(0, np.int64)
     data = text.encode("utf-8", "replace")
@@ -54,16 +53,14 @@ def features(text: str | None) -> np.ndarray:
         w = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
         parts.append(_buckets(w + np.uint64(_WORD)))
         if len(w) > 1:
-            pair = mix64(w[:-1] + np.uint64(_PAIR)) + w[1:]
-            pair[w[:-1] == w[1:]] = _TWICE
-            parts.append(_buckets(pair))
-    raw = np.frombuffer(data, np.uint8).astype(np.uint64)
+            parts.append(_buckets(mix64(w[:-1] + np.uint64(_PAIR)) + w[1:]))
+    raw = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
     for n in CHAR_GRAMS:
         if len(raw) >= n:
             last = len(raw) - n + 1
             gram = np.full(last, n, np.uint64)
             for i in range(n):
-                gram = (gram << np.uint64(8)) | raw[i : i + last]
+                gram = mix64(gram + raw[i : i + last])
             parts.append(_buckets(gram))
     return np.concatenate(parts) if parts else np.empty(0, np.int64)
 
@@ -151,16 +148,21 @@ def held_out(doc_id, parts: int, rest: int):
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(parts)) == rest, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, parts: int, rest: int, per_class: int) -> DataFrame:
-    """``(text, label)`` of a bounded sample: per class the rows whose hashed id
-    is least, none held out. The ids' number is bounded, so they are broadcast."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, parts: int, rest: int, per_class: int, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """``(doc_id, text, label)`` of a bounded sample: per class the rows whose
+    hashed id is least, none held out, as many as ``per_class`` rows and about
+    ``most_bytes`` of text allow. The ids' number is bounded, so they are
+    broadcast."""
     known = need_columns(labels, doc_id="long", **{label: "int"}).where(f"doc_id IS NOT NULL AND {label} IN (0, 1)")
     known = known.where(~held_out(F.col("doc_id"), parts, rest)).groupBy("doc_id").agg(F.max(label).alias("label"))
     chosen = None
     for value in (0, 1):
         some = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = some if chosen is None else chosen.union(some)
-    return docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+    rows = docs.join(F.broadcast(chosen), "doc_id").withColumn("at", F.row_number().over(order)).where(F.col("at") <= per_class)
+    before = F.sum(F.octet_length(F.coalesce("text", F.lit("")))).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return rows.withColumn("before", before).where(F.coalesce("before", F.lit(0)) < most_bytes).select("doc_id", "text", "label")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", parts: int = 5, rest: int = 0, per_class: int = SAMPLE_PER_CLASS) -> Model:
@@ -182,10 +184,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", parts: int =
 def score(docs: DataFrame, model: Model, parts: int = 5, rest: int = 0) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` for every row of ``docs``.
 
-    Null and empty texts have no features and get the score of the bias alone.
-    Rows are scored by their text only, so copies get equal scores. A null
-    ``doc_id`` stays null and is not held out. An empty table gives no rows;
-    other columns are ignored.
+    Null and empty texts have no features and get the score of the bias alone;
+    texts of any length are scored whole. Rows are scored by their text only, so
+    copies get equal scores; a score of just the threshold is predicted 1. A
+    null ``doc_id`` stays null and is not held out. An empty table gives no rows;
+    other columns are ignored, whatever their names.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
