@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from .frames import bound_batches, map_texts, need_columns, reliable
+from .frames import BROADCAST_ROWS, bound_batches, join_counted, map_texts, need_columns, reliable, small, unused
 
 BLANKS = " \t\n\v\f\r"
 MIN_CHARS = 40
@@ -126,8 +126,9 @@ def dropped_keys(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     runs = LineRuns(docs.sparkSession)
     for i in range(batches):
         runs.add(keys.where(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == i))
-    often = reliable(runs.merged().where(F.col("n_docs") >= min_docs).select("k1", "k2", "last_doc"))
-    lost = keys.join(often, ["k1", "k2"]).where("doc_id <> last_doc").select("doc_id", "k1")
+    often = reliable(runs.merged().where(F.col("n_docs") >= min_docs).select("k1", "k2", "last_doc", F.col("n_docs").alias("n")))
+    lost = keys.join(F.broadcast(often), ["k1", "k2"]) if often.count() <= BROADCAST_ROWS else join_counted(keys, often, ["k1", "k2"], keys.count())
+    lost = lost.where("doc_id <> last_doc").select("doc_id", "k1")
     return lost.groupBy("doc_id").agg(F.collect_set("k1").alias("gone"))
 
 
@@ -142,8 +143,24 @@ def _strip(text: str | None, gone: list[int] | None, min_chars: int) -> tuple[st
 
 
 def _with_gone(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
-    gone = dropped_keys(docs, min_chars, min_docs).select(F.col("doc_id").alias("__gone_id"), F.col("gone").alias("__gone"))
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone_id"), "left").drop("__gone_id")
+    """The columns of ``docs`` in their order, then the keys that a row loses.
+
+    Where all those keys are few they are broadcast; where the documents that
+    lose some are few, only these leave their place to meet their keys.
+    """
+    gone = reliable(dropped_keys(docs, min_chars, min_docs))
+    rid, lost = unused(docs, "id"), unused(docs, "lost")
+    rows = docs.withColumn(rid, F.col("doc_id").cast("long"))
+    gone = gone.select(F.col("doc_id").alias(rid), F.col("gone").alias(lost))
+    n = gone.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size(lost)), F.lit(0)).alias("keys")).first()
+    columns = [*[F.col(f"`{c}`") for c in docs.columns], F.col(lost)]
+    if n["keys"] <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(gone), rid, "left").select(columns)
+    if n["docs"] <= BROADCAST_ROWS:
+        ids = small(gone.select(rid))
+        whole = rows.join(ids, rid, "left_anti").withColumn(lost, F.lit(None).cast("array<bigint>"))
+        return whole.select(columns).union(rows.join(ids, rid, "left_semi").join(gone, rid).select(columns))
+    return rows.join(gone, rid, "left").select(columns)
 
 
 def dedup_digest(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -153,8 +170,9 @@ def dedup_digest(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     more hold loses all its lines but those of the largest ``doc_id`` holding
     it. A null or empty text is one empty line. Rows repeating a ``doc_id``
     count as one document and lose the same keys. A null ``doc_id`` names no
-    document: it adds to no count and loses nothing. An empty table gives no
-    rows; other columns are ignored.
+    document: it adds to no count and loses nothing. Texts of any length are
+    taken whole. An empty table gives no rows; other columns are ignored,
+    whatever their names.
     """
     texts = need_columns(docs, doc_id="long", text="string")
 
@@ -167,15 +185,18 @@ def dedup_digest(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
             sha.append(hashlib.sha256(kept.encode("utf-8", "replace")).hexdigest())
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(d, pa.int64()), pa.array(sha, pa.string())], names=["doc_id", "n_lines", "n_dropped", "kept_sha256"])
 
-    joined = _with_gone(texts, min_chars, min_docs).select("doc_id", "text", "__gone")
+    joined = _with_gone(texts, min_chars, min_docs)
     return map_texts(joined, "text", fn, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``docs`` with the repeated lines taken out of ``text``; other columns stay.
+    """``docs`` with the repeated lines taken out of ``text``; other columns stay,
+    whatever their names.
 
     ``n_chars``, where there is one, is counted anew. A row that loses nothing
-    keeps its text as it was, null included.
+    keeps its text as it was, null included. Rows repeating a ``doc_id`` count
+    as one document and lose the same keys; a null ``doc_id`` loses nothing.
+    Texts of any length are taken whole. An empty table gives no rows.
     """
     bound_batches(docs.sparkSession)
     schema = docs.schema
@@ -198,7 +219,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
                     cols[count] = pa.array(sizes, cols[count].type)
             yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names[:-1])
 
-    joined = _with_gone(docs, min_chars, min_docs).select(*[F.col(f"`{c}`") for c in docs.columns], "__gone")
+    joined = _with_gone(docs, min_chars, min_docs)
     return joined.mapInArrow(run, schema)
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import reliable
@@ -79,9 +79,13 @@ def token_count(text):
     return F.when(bare == "", 1).otherwise(F.size(F.split(bare, r"[\x20\x09-\x0D]+")) + 1).cast("long")
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """The key by which a document is dealt: a hash of its id and text."""
-    return docs.withColumn("__source", F.coalesce(F.col("source").cast("string"), F.lit(NO_SOURCE))).withColumn("__key", F.xxhash64(F.lit(SEED), "doc_id", "text"))
+def _keyed(docs: DataFrame) -> tuple[DataFrame, Column]:
+    """The columns of ``docs`` by number, so that no name can clash, and the key
+    by which a document is dealt: a hash of its id and text. Also the text."""
+    at = {c.lower(): f"c{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.toDF(*at.values())
+    source = F.coalesce(F.col(at["source"]).cast("string"), F.lit(NO_SOURCE))
+    return rows.withColumn("__source", source).withColumn("__key", F.xxhash64(F.lit(SEED), at["doc_id"], at["text"])), F.col(at["text"])
 
 
 def source_tokens(narrow: DataFrame) -> dict[str, tuple[float, int]]:
@@ -138,17 +142,18 @@ def realise(docs: DataFrame, max_epochs: float | None = MAX_EPOCHS, target_entro
     """The mixture's rows: the columns of ``docs``, then ``__source``,
     ``__weight``, ``__epoch`` (from 0) and ``__slot`` (the block's place in its
     epoch). Sorting a source's rows by epoch, slot and key gives its sequence."""
-    narrow = reliable(_keyed(docs).select("__source", "__key", token_count(F.col("text")).alias("__tokens")))
+    rows, text = _keyed(docs)
+    narrow = reliable(rows.select("__source", "__key", token_count(text).alias("__tokens")))
     totals = source_tokens(narrow)
     if not totals:
         return docs.select("*", *[F.lit(None).cast(k).alias(c) for c, k in (("__source", "string"), ("__weight", "double"), ("__epoch", "int"), ("__slot", "int"))])
     mixed = mixture({s: t for s, (t, _) in totals.items()}, max_epochs, target_entropy, budget)
     dim, schedule = _schedule(narrow, totals, mixed)
-    rows = _keyed(docs).join(bounded(dim, len(totals)), "__source").withColumn("__block", _block())
+    rows = rows.join(bounded(dim, len(totals)), "__source").withColumn("__block", _block())
     # a source has at most MAX_BLOCKS blocks, each in few epochs
     size = sum(min(MAX_BLOCKS, math.isqrt(n) + 1) * (int(mixed["epochs"][s]) + 1) for s, (_, n) in totals.items())
     used = rows.join(bounded(schedule, size), ["__source", "__block"]).where("__key <= __last")
-    return used.select(*[F.col(f"`{c}`") for c in docs.columns], "__source", "__weight", "__epoch", "__slot")
+    return used.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)], "__source", "__weight", "__epoch", "__slot")
 
 
 def mix(docs: DataFrame, max_epochs: float | None = MAX_EPOCHS, target_entropy: float | None = None, budget: float | None = None) -> DataFrame:
@@ -159,7 +164,11 @@ def mix(docs: DataFrame, max_epochs: float | None = MAX_EPOCHS, target_entropy:
     so nothing is lost: sources are repeated in whole epochs and a last part of
     an epoch. Null sources are one source of their own. Null and empty texts
     count one token, for the end. Repeated rows are rows of their own and are
-    used alike. An empty table gives no rows. Other columns stay as they are;
-    only names that begin with two underscores are reserved.
+    used alike. Of documents with equal keys (equal id and text) all or none are
+    used in a cut epoch. Texts of any length count whole. An empty table gives
+    no rows. Other columns stay as they are, whatever their names.
     """
-    return realise(docs, max_epochs, target_entropy, budget).select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = docs.columns
+    used = realise(docs, max_epochs, target_entropy, budget)
+    # by place: a column may be named as one of the mixture's
+    return used.toDF(*[f"c{i}" for i in range(len(used.columns))]).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])

@@ -2,8 +2,8 @@
 
 Candidates are found by patterns in every whole text. Each candidate's value is
 hashed, and hashes are aggregated over the corpus by distinct repositories and
-owners. A value that several owners hold has been copied from documentation or
-a tutorial: an example. One that few owners hold and that looks generated is a
+owners. A value that several owners or many repositories hold has been copied
+from documentation or a tutorial: an example. One that few of them hold and that looks generated is a
 live-looking credential of theirs. Base spans are reported either way, with
 their class beside them; unnamed random tokens are added as spans of the kind
 ``live`` only where ownership says that they are not copied.
@@ -14,11 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import reliable
+from .frames import join_counted, reliable
 
 KINDS = ("assign", "access", "hex", "live")
-#: Owners that make a value widely copied.
-COPIED_OWNERS = 3
+#: Owners, or repositories of any owners, that make a value widely copied.
+COPIED_OWNERS, COPIED_REPOS = 3, 6
 #: Distinct characters that a live-looking value has at least.
 LIVE_VARIETY = 8
 
@@ -37,7 +37,8 @@ HEX = r"[0-9a-f]{32,}"
 RANDOM = r"[A-Za-z0-9_-]{20,}"
 MIN_VALUE = 8
 
-_SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
+#: Of a value only its hash and looks are kept: no secret is written anywhere.
+_SPAN = "array<struct<start:int,kind:int,end:int,hash:string,varied:boolean>>"
 
 
 def _spans(text: Column, kind: int, pattern: str, keep=None, group: int = 0) -> Column:
@@ -48,18 +49,19 @@ def _spans(text: Column, kind: int, pattern: str, keep=None, group: int = 0) ->
     """
     p = F.lit(pattern)
     hits, gaps = F.regexp_extract_all(text, p, F.lit(0)), F.split(text, pattern, -1)
-    parts = F.arrays_zip(hits.alias("hit"), F.slice(gaps, 1, F.size(hits)).alias("gap"), (F.regexp_extract_all(text, p, F.lit(group)) if group else hits).alias("value"))
+    values = F.regexp_extract_all(text, p, F.lit(group)) if group else hits
+    parts = F.arrays_zip(hits.alias("hit"), F.slice(gaps, 1, F.size(hits)).alias("gap"), values.alias("value"))
+    parts = F.transform(parts, lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("hit"), F.when(keep(x["value"]) if keep else F.lit(True), F.struct(F.sha2(x["value"], 256).alias("hash"), (_variety(x["value"]) >= LIVE_VARIETY).alias("varied"))).alias("value")))
 
     def add(state, x):
-        start = state["at"] + F.length(x["gap"])
-        end = start + F.length(x["hit"])
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
+        start = state["at"] + x["gap"]
+        end = start + x["hit"]
+        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["value"]["hash"].alias("hash"), x["value"]["varied"].alias("varied"))
+        out = F.when(x["value"].isNull(), state["out"]).otherwise(F.concat(state["out"], F.array(span)))
+        return F.struct(end.alias("at"), out.alias("out"))
 
     empty = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
     found = F.aggregate(parts, empty, add, lambda s: s["out"])
-    if keep is not None:
-        found = F.filter(found, keep)
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_SPAN))
 
 
@@ -74,9 +76,9 @@ def _random(value: Column) -> Column:
 
 def find_spans(text: Column) -> tuple[Column, Column]:
     """Base spans, and the random tokens that lie outside of them."""
-    assign = _spans(text, 0, ASSIGN, keep=lambda s: F.length(s["value"]) >= MIN_VALUE, group=2)
+    assign = _spans(text, 0, ASSIGN, keep=lambda v: F.length(v) >= MIN_VALUE, group=2)
     base = F.array_sort(F.concat(assign, _spans(text, 1, ACCESS), _spans(text, 2, HEX)))
-    return base, _spans(text, 3, RANDOM, keep=lambda s: _random(s["value"]))
+    return base, _spans(text, 3, RANDOM, keep=_random)
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
@@ -103,9 +105,11 @@ def scan(docs: DataFrame, owner: Column | None = None, repo: Column | None = Non
 
     The owner of a document is its ``source`` and its repository the part of the
     source in its ``lang``, unless given. A null or empty text has no spans; its
-    digest is that of the empty string. Repeated rows are scanned each, and a
-    value counts its owners, not its rows. A null ``doc_id`` stays null. An
-    empty table gives no rows; other columns are ignored.
+    digest is that of the empty string; texts of any length are scanned whole.
+    Repeated rows are scanned each, and a value counts its owners and
+    repositories, not its rows. Spans that begin together come by kind. A null
+    ``doc_id`` stays null. An empty table gives no rows; other columns are
+    ignored, whatever their names.
     """
     columns = docs.columns
     owner = owner if owner is not None else (F.col("source") if "source" in columns else F.lit(""))
@@ -118,11 +122,12 @@ def scan(docs: DataFrame, owner: Column | None = None, repo: Column | None = Non
     rows = reliable(rows.withColumn("row", F.monotonically_increasing_id()))
     outside = F.filter("random", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
     every = rows.where((F.size("base") > 0) | (F.size("random") > 0)).withColumn("span", F.explode(F.concat("base", outside)))
-    every = every.select("row", "repo", "owner", "span", F.sha2("span.value", 256).alias("hash"))
-    freq = ownership(every.select("hash", "repo", "owner"))
-    copied = F.col("n_owners") >= COPIED_OWNERS
-    live = ~copied & (_variety(F.col("span.value")) >= LIVE_VARIETY)
-    judged = every.join(freq, "hash").where((F.col("span.kind") < 3) | live).select("row", "span", copied.alias("copied"), live.alias("live"))
+    every = every.select("row", "repo", "owner", "span", F.col("span.hash").alias("hash"))
+    freq = reliable(ownership(every.select("hash", "repo", "owner")).withColumnRenamed("n_rows", "n"))
+    total = freq.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    copied = (F.col("n_owners") >= COPIED_OWNERS) | (F.col("n_repos") >= COPIED_REPOS)
+    live = ~copied & F.col("span.varied")
+    judged = join_counted(every, freq, "hash", total).where((F.col("span.kind") < 3) | live).select("row", "span", copied.alias("copied"), live.alias("live"))
     per_row = judged.groupBy("row").agg(
         F.array_sort(F.collect_list("span")).alias("all"), F.count_if("live").alias("n_live"), F.count_if("copied").alias("n_copied")
     )
@@ -162,9 +167,9 @@ found AS (SELECT r, kind, s, s + length(hit) AS e, val FROM raw
   WHERE (kind = 0 AND length(val) >= {MIN_VALUE}) OR kind IN (1, 2)
      OR (kind = 3 AND regexp_matches(val, '[A-Z]') AND regexp_matches(val, '[a-z]') AND regexp_matches(val, '[0-9].*[0-9]') AND {variety} >= {LIVE_VARIETY})),
 outside AS (SELECT * FROM found f WHERE kind < 3 OR NOT EXISTS (SELECT 1 FROM found b WHERE b.r = f.r AND b.kind < 3 AND b.s < f.e AND f.s < b.e)),
-owned AS (SELECT f.*, d.o FROM outside f JOIN d USING (r)),
-freq AS (SELECT val, count(DISTINCT o) AS n_owners FROM owned GROUP BY val),
-judged AS (SELECT r, kind, s, e, n_owners >= {COPIED_OWNERS} AS copied, n_owners < {COPIED_OWNERS} AND {variety} >= {LIVE_VARIETY} AS live FROM owned JOIN freq USING (val)),
+owned AS (SELECT f.*, d.o, d.p FROM outside f JOIN d USING (r)),
+freq AS (SELECT val, count(DISTINCT o) >= {COPIED_OWNERS} OR count(DISTINCT {{'o': o, 'p': p}}) >= {COPIED_REPOS} AS copied FROM owned GROUP BY val),
+judged AS (SELECT r, kind, s, e, copied, NOT copied AND {variety} >= {LIVE_VARIETY} AS live FROM owned JOIN freq USING (val)),
 kept AS (SELECT *, list_extract(['{"', '".join(KINDS)}'], kind + 1) || ':' || s || ':' || e AS span FROM judged WHERE kind < 3 OR live),
 agg AS (SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
   string_agg(span, ',' ORDER BY s, kind) FILTER (kind < 3) AS base, string_agg(span, ',' ORDER BY s, kind) AS spans,

@@ -107,21 +107,27 @@ class Automaton:
 
     def codes(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        out = np.zeros(len(points), np.uint8)
+        out = np.zeros(len(points), np.int32)
         for point, code in self.letter.items():
             out[points == point] = code
         return out
 
-    def matches(self, texts: list[str]) -> np.ndarray:
-        """``len(texts) x len(globs)``: which globs match which whole texts."""
+    def matches(self, texts: list[str], cells: int = 1 << 20) -> np.ndarray:
+        """``len(texts) x len(globs)``: which globs match which whole texts. As
+        many texts run at once as keep the state within ``cells`` words."""
+        hits = np.zeros((len(texts), len(self.globs)), bool)
+        step = max(1, cells // self.words)
+        for start in range(0, len(texts), step):
+            hits[start : start + step] = self._run(texts[start : start + step])
+        return hits
+
+    def _run(self, texts: list[str]) -> np.ndarray:
         n = len(texts)
         hits = np.zeros((n, len(self.globs)), bool)
-        if not n:
-            return hits
         coded = [self.codes(t) for t in texts]
         sizes = np.fromiter(map(len, coded), np.int64, n)
         order = np.argsort(-sizes, kind="stable")
-        flat = np.concatenate([coded[i] for i in order]) if sizes.sum() else np.zeros(0, np.uint8)
+        flat = np.concatenate([coded[i] for i in order]) if sizes.sum() else np.zeros(0, np.int32)
         begin = np.concatenate([[0], np.cumsum(sizes[order])[:-1]])
         live = np.tile(self.start, (n, 1))
         one, top = np.uint64(1), np.uint64(63)
@@ -165,8 +171,10 @@ def filter_urls(pages: DataFrame, sites=SITE_RULES, globs=GLOB_RULES) -> DataFra
 
     A null url, and one without ``://``, has an empty host and path; no site
     rule fits it. Each row is judged by itself: repeated rows get equal
-    verdicts. A null ``page_id`` stays null. An empty table gives no rows;
-    other columns are ignored and not read.
+    verdicts. Urls of any length are read whole. Of site rules of one length
+    the first given wins, of globs the first that matches. A null ``page_id``
+    stays null. An empty table gives no rows; other columns are ignored and not
+    read, whatever their names.
     """
     automaton = build(sites, globs)
 
