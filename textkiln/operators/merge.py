@@ -18,6 +18,17 @@ def keep_first(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return out.select(*key, *[F.col(f"__first.{c}").alias(c) for c in order], *[F.col(f"__row.{c}").alias(c) for c in rest])
 
 
+def join_by_place(left: DataFrame, right: DataFrame, left_order: list[str], right_order: list[str]) -> DataFrame:
+    """The rows of two tables side by side, the first with the first. Both must
+    have as many rows; the columns of ``right`` must have names of their own."""
+    a = dense_row_number(left, [F.col(c) for c in left_order], "place")
+    b = dense_row_number(right, [F.col(c) for c in right_order], "place")
+    n, m = a.count(), b.count()
+    if n != m:
+        raise ValueError(f"{n} rows on the left, {m} on the right")
+    return a.join(b, "place")
+
+
 def renumber(rows: DataFrame, order: list[str], pattern: str = "qa_%05d", name: str = "qa_id") -> DataFrame:
     """Dense ids from 1 in the order given."""
     numbered = dense_row_number(rows, [F.col(c) for c in order], "__number")

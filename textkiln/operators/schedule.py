@@ -8,12 +8,15 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textkiln import schemas as S
 
+from textkiln.functions import text as T
+
 from .enrich import weight_of
+from .ranking import dense_row_number
 
 
 def shuffle_key(key: Column, seed: int = S.SEED_NUMBER) -> Column:
@@ -44,8 +47,8 @@ def schedule(chunks: DataFrame, target: int, pool_size: int | None = None, key:
     """The first ``target`` tasks: the shuffled pool gone through again and
     again, each task with its drawn type. ``task_no`` counts from 1.
 
-    Only as many rounds as the target needs are made, and the limit keeps the
-    top rows of each partition before they are merged.
+    Only as many rounds as the target needs are made, and tasks are numbered
+    range by range: no task orders all of them.
     """
     pool = weighted_pool(chunks)
     n = pool.count() if pool_size is None else pool_size
@@ -54,11 +57,10 @@ def schedule(chunks: DataFrame, target: int, pool_size: int | None = None, key:
     rounds = math.ceil(target / n)
     ident = F.concat_ws("|", F.col(key).cast("string"), F.col("copy").cast("string"))
     tasks = pool.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds))))
-    tasks = tasks.withColumn("place", shuffle_key(ident, seed)).orderBy("round", "place", key, "copy").limit(target)
-    # after the limit there are ``target`` rows: numbering them is one small task
-    number = F.row_number().over(Window.orderBy("round", "place", key, "copy")).cast("long")
+    order = [F.col(c) for c in ("round", "place", key, "copy")]
+    tasks = dense_row_number(tasks.withColumn("place", shuffle_key(ident, seed)), order, "task_no").where(F.col("task_no") <= target)
     drawn = draw_type(F.concat_ws("|", ident, F.col("round").cast("string")), seed)
-    return tasks.select(key, "chapter_num", "copy", "round", drawn.alias("question_type"), number.alias("task_no"))
+    return tasks.select(key, "chapter_num", "copy", "round", drawn.alias("question_type"), "task_no")
 
 
 def contrastive_pairs(chunks: DataFrame, key: str = "doc_id", seed: int = S.SEED_NUMBER) -> DataFrame:
@@ -82,6 +84,17 @@ def contrastive_pairs(chunks: DataFrame, key: str = "doc_id", seed: int = S.SEED
     return rows.select(key, "chapter_num", "echelon", "para_id", F.array_min(usable)["id"].alias("partner_id"))
 
 
+def retype_without_partner(tasks: DataFrame, partner: str = "partner_id") -> DataFrame:
+    """Contrastive tasks without a partner become echelon-specific ones."""
+    alone = (F.col("question_type") == "contrastive") & F.col(partner).isNull()
+    return tasks.withColumn("question_type", F.when(alone, F.lit("echelon_specific")).otherwise(F.col("question_type")))
+
+
+def long_enough(chunks: DataFrame, text: str = "text", words: int = 30) -> DataFrame:
+    """Chunks with words enough to ask about."""
+    return chunks.where(T.word_count(F.col(text)) >= words)
+
+
 def quota_per_chunk(chunks: DataFrame, target: int, low: int = 3, high: int = 12) -> DataFrame:
     """Questions a chunk: the target by share of weight, split over the chunks
     of its chapter, clamped. Totals come from one row per chapter."""

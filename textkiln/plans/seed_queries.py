@@ -258,6 +258,30 @@ def train_val_split(spark, sf_dir):
     return split.train_val_split(I.seeds(spark, sf_dir).select("key"), "key").select("key", "place", "part")
 
 
+@query(f"WITH {I.SQL_DOCUMENTS} SELECT doc_id, {I.sql_words('text')} AS n_words FROM docs WHERE {I.sql_words('text')} >= 30")
+def long_enough(spark, sf_dir):
+    """Minimum length before generation."""
+    rows = schedule.long_enough(I.documents(spark, sf_dir))
+    return rows.select("doc_id", T.word_count(F.col("text")).alias("n_words"))
+
+
+@query(f"SELECT doc_id, partner_id, CASE WHEN partner_id IS NULL THEN 'echelon_specific' ELSE 'contrastive' END AS question_type FROM ({ORACLES['contrastive_pairs']})")
+def contrastive_fallback(spark, sf_dir):
+    """Contrastive tasks, of another type where a chunk has no partner."""
+    tasks = schedule.contrastive_pairs(I.documents(spark, sf_dir)).withColumn("question_type", F.lit("contrastive"))
+    return schedule.retype_without_partner(tasks).select("doc_id", "partner_id", "question_type")
+
+
+@query(f"""WITH {I.SQL_SEEDS}, a AS (SELECT key, question_type, row_number() OVER (ORDER BY key) AS place FROM seeds),
+b AS (SELECT key AS result_key, length(answer) AS n_chars, row_number() OVER (ORDER BY md5('42|' || key), key) AS place FROM seeds)
+SELECT place, key, question_type, result_key, n_chars FROM a JOIN b USING (place)""")
+def positional_join(spark, sf_dir):
+    """Validation rows beside result rows, by place in their own order."""
+    seeds = I.seeds(spark, sf_dir)
+    results = seeds.select(F.col("key").alias("result_key"), F.length("answer").cast("long").alias("n_chars"), schedule.shuffle_key(F.col("key")).alias("drawn"))
+    return merge.join_by_place(seeds.select("key", "question_type"), results, ["key"], ["drawn", "result_key"]).select("place", "key", "question_type", "result_key", "n_chars")
+
+
 @query(f"WITH {I.SQL_SEEDS} SELECT question_type, count(*) AS n FROM seeds GROUP BY 1 ORDER BY n DESC, question_type")
 def type_distribution(spark, sf_dir):
     return reports.distribution(I.seeds(spark, sf_dir), "question_type").orderBy(F.desc("n"), "question_type")
@@ -309,6 +333,14 @@ def dpo_pairs(spark, sf_dir):
     return prefs.preference_pairs(s.withColumn("rejected", rejected), "rejected", "key")
 
 
+@query(f"""WITH p AS ({ORACLES['dpo_pairs']}), o AS (SELECT key, row_number() OVER (ORDER BY md5('42|' || key), key) AS place FROM p)
+SELECT key, place, CASE WHEN place > (SELECT count(*) - CAST(ceil(count(*) * 0.1) AS BIGINT) FROM p) THEN 'val' ELSE 'train' END AS part FROM o""")
+def dpo_split(spark, sf_dir):
+    """Preference pairs, a tenth of them held for validation."""
+    pairs = dpo_pairs(spark, sf_dir)
+    return split.train_val_split(pairs.select("key"), "key", held=split.pair_validation_rows).select("key", "place", "part")
+
+
 @query(f"WITH {I.SQL_SEEDS} SELECT count(*) AS n, count(*) FILTER (contains(answer_c, '[Reference: ATP')) AS n_cited, CAST(floor(100.0 * count(*) FILTER (contains(answer_c, '[Reference: ATP')) / greatest(count(*), 1)) AS INT) AS percent FROM seeds")
 def citation_coverage(spark, sf_dir):
     n, cited = F.count("*"), F.count_if(F.contains("answer_c", F.lit("[Reference: ATP")))

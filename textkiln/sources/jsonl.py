@@ -8,15 +8,10 @@ from pyspark.sql import functions as F
 from textkiln.functions import text as T
 from textkiln.functions.ladders import is_json
 
-_BAD = "_corrupt"
-
-
 def tolerant_scan(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    """Rows of the lines that parse; others are skipped. The filter is explicit:
-    the DROPMALFORMED mode counts skipped lines when no column is read."""
-    rows = spark.read.schema(f"{schema}, {_BAD} STRING").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD).json(path)
-    names = [c for c in rows.columns if c != _BAD]
-    return rows.where(F.col(_BAD).isNull() & F.coalesce(*[F.col(c).cast("string") for c in names] or [F.lit("")]).isNotNull()).drop(_BAD)
+    """Rows of the lines that are JSON objects; others are skipped. An object
+    that has none of the wanted fields is a row of nulls."""
+    return tolerant_parse(spark.read.text(path), "value", schema)
 
 
 def tolerant_parse(lines: DataFrame, column: str, schema: str) -> DataFrame:
