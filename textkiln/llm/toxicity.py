@@ -41,7 +41,7 @@ ORDINARY_BYTES, TOXIC_BYTES = 48_000, (700, 1_500, 3_000, 6_000, 12_000)
 #: Different surroundings that toxic wording has at least, how many times its
 #: rate of them in ordinary documents, and how many of them the toxic dictionary
 #: is trained on, so that frequent wording leaves room for other.
-MIN_SURROUNDINGS, RATIO, EXAMPLES = 5, 8, 12
+MIN_SURROUNDINGS, RATIO, EXAMPLES = 5, 16, 12
 THRESHOLD = 0.3
 _PAD = 40
 _EDGES = b".,;:!?\"'()|*&%$#<>"
