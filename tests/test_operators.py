@@ -56,6 +56,10 @@ def test_dense_numbers(spark):
     assert all(r["k"] == r["n"] for r in got) and len(got) == 1000
 
 
+def test_over_provision():
+    assert [schedule.over_provision(n) for n in (5000, 1, 0)] == [6500, 1, 0]
+
+
 @pytest.mark.parametrize(("value", "want"), [(" BCT ", "bct"), ("squad", "general"), (None, "general"), ("5", "general")])
 def test_clamp(spark, value, want):
     df = spark.createDataFrame([(value,)], "v string")

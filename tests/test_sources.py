@@ -86,3 +86,23 @@ def test_pdf_texts_take_any_extractor(spark, tmp_path):
     (tmp_path / "a.pdf").write_bytes(b"%PDF words")
     row = pdf.pdf_texts(spark, str(tmp_path / "*.pdf"), lambda c: c.decode().lower()).first()
     assert row["text"] == "%pdf words" and row["path"].endswith("a.pdf")
+
+
+def test_write_modes(spark, tmp_path):
+    path = str(tmp_path / "out")
+    one, two = (spark.createDataFrame([(v,)], "v string") for v in "ab")
+    read = lambda: sorted(r["v"] for r in spark.read.schema("v string").json(path).collect())
+    for rows, mode, want in ((one, "overwrite", "a"), (two, "ignore", "a"), (two, "append", "ab"), (two, "overwrite", "b")):
+        jsonl.write(rows, path, mode)
+        assert read() == list(want)
+
+
+def test_live_counts(spark, tmp_path):
+    source = str(tmp_path / "in")
+    spark.createDataFrame([("x",), ("y",), ("x",)], "k string").write.parquet(source)
+    query = resume.live_counts(resume.read_stream(spark, source, "k string"), "k", "live_counts_test", every="0 seconds")
+    try:
+        query.processAllAvailable()
+        assert sorted(map(tuple, spark.table("live_counts_test").collect())) == [("x", 2), ("y", 1)]
+    finally:
+        query.stop()

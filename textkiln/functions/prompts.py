@@ -7,9 +7,18 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from textkiln import schemas as S
-
-INSTRUCTIONS = {name: f"Write one {name.replace('_', ' ')} question that the source answers." for name in S.QUESTION_TYPES}
+#: What each question type asks for.
+INSTRUCTIONS = {
+    "factual": "Write one question about a single fact that the source states, and answer it from the source alone.",
+    "procedural": "Write one question about how something is carried out, and answer it with the steps in their order.",
+    "comparative": "Write one question that sets two things of the source side by side, and answer with what they share and where they part.",
+    "echelon_specific": "Write one question that only makes sense at the echelon named above, and answer it for that echelon.",
+    "applied_reasoning": "Invent a short situation, ask what follows from the source in it, and give the reasoning with the answer.",
+    "product_generation": "Ask for one finished product that the source describes, and answer with that product filled in.",
+    "cross_step": "Write one question that links this step to an earlier or later one, and answer how the one feeds the other.",
+    "multi_domain": "Write one question that touches more than one domain, and answer for each domain by itself.",
+    "contrastive": "Write one question that both sources bear on but treat differently, and answer with that difference.",
+}
 
 
 @dataclass(frozen=True)

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Buckets that the order is cut into; their counts are one small table.
-BUCKETS = 512
+from textkiln.sources.folders import kept
 
 
 def dense_row_number(df: DataFrame, order: list[Column], name: str, start: int = 1) -> DataFrame:
@@ -20,8 +19,9 @@ def dense_row_number(df: DataFrame, order: list[Column], name: str, start: int =
     keyed = df.withColumns({f"__o{i}": c for i, c in enumerate(order)})
     keys = [F.col(f"__o{i}") for i in range(len(order))]
     dealt = keyed.repartitionByRange(width, *keys).withColumn("__part", F.spark_partition_id())
-    # the ranges come from a sample: both uses below must see the same cut
-    dealt = dealt.persist()
+    # the ranges come from a sample: both uses below must see the same cut, also
+    # after an executor is lost
+    dealt = kept(dealt)
     sizes = dealt.groupBy("__part").agg(F.count("*").alias("__n"))
     before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     inside = F.row_number().over(Window.partitionBy("__part").orderBy(*keys))

@@ -10,6 +10,8 @@ from textkiln.functions import ladders, prompts
 from textkiln.functions import text as T
 from textkiln.operators import chunking, enrich, schedule
 from textkiln.operators.reports import distribution
+from textkiln.sources import jsonl
+from textkiln.sources.folders import scratch
 from textkiln.sources.jsonl import tolerant_parse
 
 from . import inputs as I
@@ -248,7 +250,7 @@ def metadata_gate(spark, sf_dir):
     return d.select("doc_id", ok.alias("accepted"))
 
 
-_TASK = "'Write one ' || replace(question_type, '_', ' ') || ' question that the source answers.'"
+_TASK = I.sql_map("question_type", prompts.INSTRUCTIONS, "VARCHAR")
 
 
 @query(f"""WITH {I.SQL_DOCUMENTS}, q AS (SELECT *, {I.sql_draw('doc_id')} AS question_type, {I.sql_map('chapter_num', I.TITLES, 'VARCHAR')} AS title FROM docs)
@@ -272,8 +274,38 @@ def json_ladder(spark, sf_dir):
     return e.select("event_id", read(ladders.first_json(text)).alias("flat_k"), read(ladders.longest_json(text)).alias("deep_k"))
 
 
+def _lines(spark, sf_dir):
+    """One line an event; of every seven, one is no JSON and one no object."""
+    n = F.col("event_id") % 7
+    line = F.when(n == 2, F.concat(F.lit("not json "), "props")).when(n == 5, F.concat(F.lit("["), "props", F.lit("]"))).otherwise(F.col("props"))
+    return I.table(spark, sf_dir, "events").select("event_id", line.alias("line"))
+
+
 @query("""SELECT event_id, CAST(props->>'k' AS BIGINT) AS k FROM events WHERE event_id % 7 NOT IN (2, 5)""")
 def tolerant_scan(spark, sf_dir):
-    e, n = I.table(spark, sf_dir, "events"), F.col("event_id") % 7
-    line = F.when(n == 2, F.concat(F.lit("not json "), "props")).when(n == 5, F.concat(F.lit("["), "props", F.lit("]"))).otherwise(F.col("props"))
-    return tolerant_parse(e.select("event_id", line.alias("line")), "line", "k BIGINT")
+    return tolerant_parse(_lines(spark, sf_dir), "line", "k BIGINT")
+
+
+@query("SELECT CAST(props->>'k' AS BIGINT) AS k FROM events WHERE event_id % 7 NOT IN (2, 5)")
+def tolerant_scan_files(spark, sf_dir):
+    """The same by the reader, from files of lines."""
+    path = scratch(spark, "lines")
+    _lines(spark, sf_dir).select("line").write.mode("overwrite").text(path)
+    return jsonl.tolerant_scan(spark, path, "k BIGINT")
+
+
+@query("""SELECT doc_id, text AS listed, CAST(to_json(struct_pack(doc_id := doc_id, lang := lang)) AS VARCHAR) AS nested, CAST(doc_id AS VARCHAR) AS plain FROM documents""")
+def coerce_text(spark, sf_dir):
+    """Values of three kinds as text: a list, a struct and a number."""
+    d = I.table(spark, sf_dir, "documents")
+    made = {"listed": (F.split("text", " "), "array<string>"), "nested": (F.struct("doc_id", "lang"), "struct"), "plain": (F.col("doc_id"), "bigint")}
+    return d.select("doc_id", *[T.coerce_string(c, kind).alias(name) for name, (c, kind) in made.items()])
+
+
+_BUILDS = ["", "-bnb-4bit", "-unsloth-bnb-4bit"]
+
+
+@query("SELECT doc_id, source || '-it' AS model FROM documents")
+def model_names(spark, sf_dir):
+    built = F.concat("source", F.lit("-it"), I.pick(_BUILDS, F.col("doc_id")))
+    return I.table(spark, sf_dir, "documents").select("doc_id", T.resolve_model_name(built).alias("model"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textkiln import schemas as S
-from textkiln.functions import chat
+from textkiln.functions import chat, prompts
 from textkiln.functions import text as T
 from textkiln.operators import enrich, merge, prefs, reports, schedule, split, validate
 from textkiln.sources.jsonl import text_projection
@@ -367,3 +367,23 @@ def review_queue(spark, sf_dir):
 def rollup_chapter_type(spark, sf_dir):
     """Beyond the surveyed operators: counts by chapter and type with totals."""
     return I.seeds(spark, sf_dir).rollup("chapter_num", "question_type").agg(F.count("*").alias("n"))
+
+
+def _sql_source(name: str, row: str) -> str:
+    echelon = f"coalesce({row}.echelon, 'general')"
+    return f"'SOURCE {name} (Chapter ' || {row}.chapter_num || ': ' || {row}.title || ', Para ' || {row}.para_id || ', Echelon: ' || {echelon} || '):' || chr(10) || left({row}.text, 600) || chr(10) || chr(10)"
+
+
+@query(f"""WITH {I.SQL_DOCUMENTS}, q AS (SELECT *, {I.sql_map('chapter_num', I.TITLES, 'VARCHAR')} AS title FROM docs), p AS ({ORACLES['contrastive_pairs']})
+SELECT a.doc_id, b.doc_id AS partner_id, md5({_sql_source('A', 'a')} || {_sql_source('B', 'b')} || 'TASK: {prompts.INSTRUCTIONS['contrastive']}' || chr(10)) AS prompt_md5
+FROM p JOIN q a ON a.doc_id = p.doc_id JOIN q b ON b.doc_id = p.partner_id""")
+def prompt_pair(spark, sf_dir):
+    """The prompts of contrastive tasks that have a partner. Only the part of a
+    text that its prompt shows is moved."""
+    fields = ["chapter_num", "chapter_title", "para_id", "echelon", "text"]
+    d = I.documents(spark, sf_dir).withColumn("chapter_title", enrich.title_of(F.col("chapter_num")))
+    pairs = schedule.contrastive_pairs(d).where("partner_id IS NOT NULL").select("doc_id", "partner_id")
+    shown = d.withColumn("text", F.left("text", F.lit(prompts.CHAPTERS.pair_chars)))
+    a, b = (shown.select(F.col("doc_id").alias(key), *[F.col(c).alias(f"{side}_{c}") for c in fields]) for side, key in (("a", "doc_id"), ("b", "partner_id")))
+    of = lambda side: {c: F.col(f"{side}_{c}") for c in fields}
+    return pairs.join(a, "doc_id").join(b, "partner_id").select("doc_id", "partner_id", F.md5(prompts.contrastive(of("a"), of("b"))).alias("prompt_md5"))

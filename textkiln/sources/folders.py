@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -18,3 +18,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"textkiln-{name}-")
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder, its lineage cut there."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch(df.sparkSession, "kept"))
+    return df.checkpoint(eager=True)
