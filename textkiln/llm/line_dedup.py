@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from .frames import BROADCAST_ROWS, bound_batches, join_counted, map_texts, need_columns, reliable, small, unused
+from .frames import BROADCAST_ROWS, bound_batches, give_back, join_counted, map_texts, need_columns, reliable, small, unused
 
 BLANKS = " \t\n\v\f\r"
 MIN_CHARS = 40
@@ -218,6 +218,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
                     sizes = [len(t) if g else old for t, g, old in zip(texts, gone, cols[count].to_pylist())]
                     cols[count] = pa.array(sizes, cols[count].type)
             yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names[:-1])
+        give_back()
 
     joined = _with_gone(docs, min_chars, min_docs)
     return joined.mapInArrow(run, schema)

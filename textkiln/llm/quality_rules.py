@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .frames import bound_batches, map_texts, need_columns, slices
+from .frames import bound_batches, give_back, map_texts, need_columns, slices
 from .shingles import mix64
 
 # Fixed values of the base measures.
@@ -178,6 +178,7 @@ def keep_good(docs: DataFrame, rules=None) -> DataFrame:
                     t = Text(text)
                     mask.append(not base_failed(len(t), t.repeat_words()) and first_failure(t, rules) is None)
                 yield piece.filter(pa.array(mask, pa.bool_()))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 
