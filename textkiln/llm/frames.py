@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -109,6 +110,13 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def unpacked(column: pa.Array, kind: type) -> list[np.ndarray]:
+    """The lists of a column as arrays that share its values."""
+    values = column.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False)
+    ends = np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False))
+    return np.split(values, ends[:-1]) if len(ends) else []
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose texts hold about ``limit`` bytes.
 
