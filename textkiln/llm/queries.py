@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, filter_audit, line_dedup, mixing, packing, quality_model, quality_rules, secret_scan, toxicity, url_filter
+from . import conversation_repair, embedding_dedup, filter_audit, line_dedup, mixing, packing, quality_model, quality_rules, secret_scan, toxicity, url_filter
 from .neardup import near_duplicates
 
 QUERIES = {}
@@ -76,6 +76,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return used.selectExpr("doc_id", "source", "__weight AS weight", "__epoch AS epoch", "__slot AS slot")
 
 
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
 @query
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -85,4 +90,5 @@ ORACLES["op1_secret_scan"] = secret_scan.oracle_sql()
 ORACLES["op5_url_filters"] = url_filter.oracle_sql()
 ORACLES["op8_line_dedup"] = line_dedup.oracle_sql()
 ORACLES["op9_quality_rules"] = quality_rules.oracle_sql()
+ORACLES["op11_conversation_repair"] = conversation_repair.oracle_sql()
 ORACLES["op13_filter_audit"] = filter_audit.oracle_sql()
