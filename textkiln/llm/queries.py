@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import conversation_repair, embedding_dedup, filter_audit, line_dedup, mixing, packing, quality_model, quality_rules, secret_scan, toxicity, url_filter
+from . import chat_trees, conversation_repair, embedding_dedup, filter_audit, line_dedup, mixing, packing, quality_model, quality_rules, secret_scan, toxicity, url_filter
 from .neardup import near_duplicates
 
 QUERIES = {}
@@ -81,6 +81,14 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")))
 
 
+@query
+def op12_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation is a tree of one branch; one more says control strings."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(chat_trees.hostile(spark))
+    read = chat_trees.read_back(chat_trees.format_trees(chat_trees.reply_chains(turns)))
+    return read.withColumnRenamed("tree", "conv_id").drop("path", "rank")
+
+
 @query
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -91,4 +99,5 @@ ORACLES["op5_url_filters"] = url_filter.oracle_sql()
 ORACLES["op8_line_dedup"] = line_dedup.oracle_sql()
 ORACLES["op9_quality_rules"] = quality_rules.oracle_sql()
 ORACLES["op11_conversation_repair"] = conversation_repair.oracle_sql()
+ORACLES["op12_chat_trees"] = chat_trees.oracle_sql()
 ORACLES["op13_filter_audit"] = filter_audit.oracle_sql()
