@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import re
 
@@ -6,6 +7,7 @@ import duckdb
 import pytest
 
 from textkiln.llm import line_dedup, quality_rules, secret_scan
+from textkiln.llm.frames import reliable
 
 EDGES = [
     (1, None, "en", "s1"), (2, "", "en", "s1"), (3, "short", None, None), (3, "short", None, None), (4, "a " * 40000, "de", "s2"), (None, "x y z", "en", "s1"),
@@ -76,16 +78,59 @@ def test_batches_are_joined_against_the_runs(spark, monkeypatch):
     monkeypatch.setattr(line_dedup.LineRuns, "unseen", watched)
     common = "a line that every document of the table holds"
     rows = [(i, f"{common}\na line of only one document, which is number {i}", "en", "s") for i in range(40)]
-    lost = line_dedup.dropped_keys(frame(spark, rows)).collect()
+    lost = line_dedup.dropped_lines(frame(spark, rows)).collect()
     assert len(lost) == 39 and len(met) == line_dedup.BATCHES - 1
     assert all(new == keys - 1 for keys, new in met)  # the common line is known
     runs = line_dedup.LineRuns(spark)
     for i in range(5):
         runs.add(spark.createDataFrame([(2 * i, 7, 7), (2 * i + 1, i, 8)], "doc_id long, k1 long, k2 long"))
-    assert runs.all_runs().where("fresh").groupBy("k1", "k2").count().where("count > 1").count() == 0
+    fresh = [(r["k1"], r["k2"]) for run in runs.runs() for r in run.where("fresh").collect()]
+    assert len(fresh) == len(set(fresh)) == 6
     assert runs.merged().where("k1 = 7").first()["n_docs"] == 5
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_runs_are_merged_where_they_lie(spark):
+    runs = line_dedup.LineRuns(spark, fanout=3, buckets=4)
+    written = []
+    write = runs._write
+    runs._write = lambda rows: (written.append(plan_of(rows)), write(rows))[1]
+    for i in range(2):
+        runs.add(spark.range(i * 50, i * 50 + 100).selectExpr("id AS doc_id", "xxhash64(id) AS k1", "id AS k2"))
+    new = reliable(spark.range(120, 200).selectExpr("xxhash64(id) AS k1", "id AS k2").repartition(4, "k1", "k2").sortWithinPartitions("k1", "k2"))
+    with runs._sorted_scans():
+        unseen = runs.unseen(new)
+        plan = plan_of(unseen)
+        assert sorted(r["k2"] for r in unseen.collect()) == list(range(150, 200))
+        assert plan.count("SortMergeJoin") == 2 and plan.count("SelectedBucketsCount: 4 out of 4") == 2
+        assert "Exchange" not in plan and "Sort [" not in plan  # neither side is dealt or sorted again
+    folder = runs.folder
+    assert sorted(r["k2"] for r in runs.merged().collect()) == list(range(150))
+    assert "FullOuter" in written[-1] and "Exchange" not in written[-1] and written[-1].count("Sort [") == 0
+    assert len(list(os.scandir(folder))) == 1  # merged runs are gone
+    runs.drop()
+    assert not any(os.scandir(folder)) and not [t for t in spark.catalog.listTables() if t.name.startswith(runs.stem)]
+
+
+def test_lines_of_rows_that_share_an_id(spark):
+    line = "a line of forty characters or more, said by all of them"
+    rows = [(i, f"{line}\nown {i}", "en", "s") for i in range(6)] + [(2, f"x\ny\n{line}\n{line}", "en", "s"), (2, f"{line}\nown 2", "en", "s"), (9, f"end\n{line}", "en", "s"), (9, line, "en", "s")]
+    assert ours(line_dedup.dedup_digest(frame(spark, rows))) == duck(line_dedup.oracle_sql(), rows)
+    out = line_dedup.dedup_lines(frame(spark, rows)).collect()
+    assert sorted(r["text"] for r in out if r["doc_id"] == 2) == ["own 2", "own 2", "x\ny"] and sum(line in r["text"] for r in out) == 2
+
+
+def test_many_losing_lines_are_not_broadcast(spark, monkeypatch):
+    rows = [(i, f"{'a line that very many documents hold, number '}{i % 3}\nown {i}", "en", "s") for i in range(60)]
+    whole = sorted(ours(line_dedup.dedup_digest(frame(spark, rows))))
+    for bound in (30, 58, 1):
+        monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", bound)
+        assert sorted(ours(line_dedup.dedup_digest(frame(spark, rows)))) == whole
+
+
 def test_rules_against_sql(spark):
     rng = random.Random(4)
     texts = [" ".join(rng.choices("alpha beta gamma delta x1 22".split(), k=rng.randrange(0, 140))) for _ in range(30)]

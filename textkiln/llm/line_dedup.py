@@ -1,33 +1,34 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
-A run holds, for each line key, in how many documents it was met, the largest
-of their ids, and whether it was the first run to hold the key. A new batch of
-documents is anti-joined against the runs: the keys that none of them holds are
-the batch's new lines, the others update the counts of known ones. Both make a
-run of the batch's own at level 0; when a level is full its runs are merged into
-one run of the next level. A key is new in exactly one run, so the anti-join
-reads each key once, and its totals are the sums over the few runs there are.
+A run is a table, bucketed and sorted by line key, of in how many documents a
+key was met, the largest of their ids, and whether this was the first run to
+hold it. A new batch of documents is dealt and sorted once, like the runs, and
+merge-anti-joined against each of them where it lies: the keys that none holds
+are the batch's new lines, the others update the counts of known ones. Both make
+a run of the batch's own at level 0; when a level is full its runs are merged,
+bucket by bucket, into one of the next level. A run is never dealt or sorted
+again: both joins read its buckets as they lie.
 """
 
 from __future__ import annotations
 
-import hashlib
+import uuid
+from contextlib import contextmanager
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from xxhash import xxh3_128_digest
 
-from .frames import BROADCAST_ROWS, bound_batches, give_back, join_counted, map_texts, need_columns, reliable, small, unused
+from textkiln.sources.folders import remove, scratch
+
+from .frames import BROADCAST_ROWS, join_counted, need_columns, reliable, shuffle_width, small, unused
 
 BLANKS = " \t\n\v\f\r"
 MIN_CHARS = 40
 MIN_DOCS = 5
 #: Batches that a whole table is fed in, and runs that fill a level.
-BATCHES, FANOUT = 4, 3
+BATCHES, FANOUT = 4, 2
 
-_KEYS = "doc_id long, k1 long, k2 long"
+_KEY = ["k1", "k2"]
 
 
 def line_key(line: str) -> bytes:
@@ -35,60 +36,100 @@ def line_key(line: str) -> bytes:
     return line.strip(BLANKS).encode("utf-8", "replace").lower()
 
 
-def _hashed(text: str, min_chars: int) -> list[tuple[int, bytes | None]]:
-    """Per line: the digest of its key, or None where the key is too short."""
-    out = []
-    for line in text.split("\n"):
-        bare = line.strip(BLANKS)
-        out.append(xxh3_128_digest(bare.encode("utf-8", "replace").lower()) if len(bare) >= min_chars else None)
-    return out
-
-
-def _keys(min_chars: int):
-    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, digests = [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            found = {d for d in _hashed(text or "", min_chars) if d is not None}
-            ids += [doc_id] * len(found)
-            digests += found
-        k = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(k[:, 0]), pa.array(k[:, 1])], names=["doc_id", "k1", "k2"])
-
-    return fn
+def _lines(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
 def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``(doc_id, k1, k2)``: the distinct long keys of every row."""
-    return map_texts(need_columns(docs, doc_id="long", text="string"), "text", _keys(min_chars), _KEYS)
+    """``(doc_id, body, line, k1, k2)``: a row for each long line of a row that
+    has an id. ``body`` is a hash of the whole text and ``line`` a place in it,
+    so that rows repeating a ``doc_id`` are told apart by what they say."""
+    texts = need_columns(docs, doc_id="long", text="string").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    lines = texts.select("doc_id", F.xxhash64("text").alias("body"), F.posexplode(_lines(F.col("text"))).alias("line", "said"))
+    bare = lines.withColumn("said", F.trim("said", F.lit(BLANKS))).where(F.length("said") >= min_chars)
+    upper, lower = ("".join(map(chr, range(a, a + 26))) for a in (65, 97))
+    bare = bare.withColumn("said", F.translate("said", upper, lower))
+    return bare.select("doc_id", "body", "line", F.xxhash64("said").alias("k1"), F.xxhash64(F.lit(1), "said").alias("k2"))
 
 
 class LineRuns:
-    """The runs, by level. Runs live in the shared checkpoint folder."""
-
-    def __init__(self, spark: SparkSession, fanout: int = FANOUT):
-        self.spark, self.fanout = spark, fanout
-        self.levels: list[list[DataFrame]] = []
-
-    def _write(self, counts: DataFrame) -> DataFrame:
-        return reliable(counts.select("k1", "k2", "n_docs", "last_doc", "fresh").sortWithinPartitions("k1", "k2"))
-
-    def all_runs(self) -> DataFrame | None:
-        runs = [r for level in self.levels for r in level]
-        out = None
-        for r in runs:
-            out = r if out is None else out.union(r)
-        return out
+    """The runs, by level: tables of the session over files in the shared folder,
+    that go with ``drop``."""
+
+    def __init__(self, spark: SparkSession, fanout: int = FANOUT, buckets: int | None = None):
+        self.spark, self.fanout, self.buckets = spark, fanout, buckets or shuffle_width(spark)
+        self.levels: list[list[str]] = []
+        self.stem, self.made = f"textkiln_lines_{uuid.uuid4().hex}", 0
+        self.folder = scratch(spark, "lines")
+
+    @contextmanager
+    def _sorted_scans(self):
+        """Let scans of a bucket tell that they are sorted, as each is one file."""
+        name = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+        before = self.spark.conf.get(name, None)
+        self.spark.conf.set(name, "true")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(name, before) if before is not None else self.spark.conf.unset(name)
+
+    def _write(self, counts: DataFrame) -> str:
+        """One file a bucket: ``counts`` lies in as many tasks as buckets."""
+        name, self.made = f"{self.stem}_{self.made}", self.made + 1
+        rows = counts.select(*_KEY, "n_docs", "last_doc", "fresh")
+        with self._sorted_scans():
+            rows.write.format("parquet").option("path", f"{self.folder}/{name}").bucketBy(self.buckets, *_KEY).sortBy(*_KEY).saveAsTable(name)
+        return name
+
+    def _forget(self, names: list[str]) -> None:
+        for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            remove(self.spark, f"{self.folder}/{name}")
+
+    def drop(self) -> None:
+        self._forget([n for level in self.levels for n in level])
+        self.levels = []
+
+    def runs(self) -> list[DataFrame]:
+        return [self.spark.table(n) for level in self.levels for n in level]
 
     def merged(self) -> DataFrame:
-        runs = self.all_runs()
-        if runs is None:
+        """All keys with their totals, after a last compaction of all runs."""
+        if not self.levels:
             return self.spark.createDataFrame([], "k1 long, k2 long, n_docs long, last_doc long, fresh boolean")
-        return _sum(runs)
+        runs = [n for level in self.levels for n in level]
+        self.levels = [[] for _ in self.levels[1:]] + [[self._compact(runs)]]
+        return self.spark.table(self.levels[-1][0])
+
+    def _compact(self, names: list[str]) -> str:
+        """Merge runs into one, the lower levels first. A full outer join of two
+        is the merge of their sorted buckets. (A union of bucketed tables would
+        be planned as bucketed, too, but Spark 4.1 mixes its buckets up.)"""
+        while len(names) > 1:
+            a, b = (self.spark.table(n).select(*_KEY, F.struct("n_docs", "last_doc", "fresh").alias(side)) for n, side in zip(names, "ab"))
+            both = a.join(b.hint("merge"), _KEY, "full_outer")
+            n_docs = F.coalesce("a.n_docs", F.lit(0)) + F.coalesce("b.n_docs", F.lit(0))
+            fresh = F.coalesce("a.fresh", F.lit(False)) | F.coalesce("b.fresh", F.lit(False))
+            with self._sorted_scans():
+                merged = self._write(both.select(*_KEY, n_docs.alias("n_docs"), F.greatest("a.last_doc", "b.last_doc").alias("last_doc"), fresh.alias("fresh")))
+            self._forget(names[:2])
+            names = [merged, *names[2:]]
+        return names[0]
 
     def unseen(self, keys: DataFrame) -> DataFrame:
-        """The rows of ``keys`` that no run holds: a batch's new lines."""
-        runs = self.all_runs()
-        return keys if runs is None else keys.join(runs.where("fresh").select("k1", "k2"), ["k1", "k2"], "left_anti")
+        """The rows of ``keys`` that no run holds: a batch's new lines. Where the
+        keys are dealt and sorted like the runs, neither side moves."""
+        for run in self.runs():
+            keys = keys.join(run.where("fresh").select(*_KEY).hint("merge"), _KEY, "left_anti")
+        return keys
+
+    def known(self, keys: DataFrame) -> DataFrame | None:
+        """The rows of ``keys`` that a run holds; it is the first in one only."""
+        out = None
+        for run in self.runs():
+            met = keys.join(run.where("fresh").select(*_KEY).hint("merge"), _KEY, "left_semi")
+            out = met if out is None else out.union(met)
+        return out
 
     def add(self, keys: DataFrame) -> None:
         """Count a batch of ``(doc_id, k1, k2)`` rows into a run of its own: the
@@ -96,71 +137,69 @@ class LineRuns:
 
         A document must not be spread over batches.
         """
-        counts = keys.where("doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.countDistinct("doc_id").alias("n_docs"), F.max("doc_id").alias("last_doc"))
+        counts = keys.where("doc_id IS NOT NULL").groupBy(*_KEY).agg(F.countDistinct("doc_id").alias("n_docs"), F.max("doc_id").alias("last_doc"))
+        counts = counts.repartition(self.buckets, *_KEY)
         if not self.levels:
             return self._push(0, self._write(counts.withColumn("fresh", F.lit(True))))
-        counts = reliable(counts)
-        fresh = self.unseen(counts).withColumn("fresh", F.lit(True))
-        known = counts.join(self.all_runs().where("fresh").select("k1", "k2"), ["k1", "k2"], "left_semi").withColumn("fresh", F.lit(False))
-        self._push(0, self._write(fresh.unionByName(known)))
+        with self._sorted_scans():
+            counts = reliable(counts.sortWithinPartitions(*_KEY))
+            rows = self.unseen(counts).withColumn("fresh", F.lit(True)).union(self.known(counts).withColumn("fresh", F.lit(False)))
+            self._push(0, self._write(rows))
 
-    def _push(self, level: int, run: DataFrame) -> None:
+    def _push(self, level: int, run: str) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
-            out = full[0]
-            for r in full[1:]:
-                out = out.union(r)
-            self._push(level + 1, self._write(_sum(out)))
-
-
-def _sum(runs: DataFrame) -> DataFrame:
-    return runs.groupBy("k1", "k2").agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"), F.bool_or("fresh").alias("fresh"))
+            self._push(level + 1, self._compact(full))
 
 
-def dropped_keys(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:
-    """``(doc_id, gone)``: per document the first halves of the keys it loses."""
+def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:
+    """``(doc_id, body, gone)``: the places of the lines that a text loses."""
+    spark = docs.sparkSession
     keys = reliable(line_keys(docs, min_chars))
-    runs = LineRuns(docs.sparkSession)
+    runs = LineRuns(spark)
     for i in range(batches):
         runs.add(keys.where(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == i))
-    often = reliable(runs.merged().where(F.col("n_docs") >= min_docs).select("k1", "k2", "last_doc", F.col("n_docs").alias("n")))
-    lost = keys.join(F.broadcast(often), ["k1", "k2"]) if often.count() <= BROADCAST_ROWS else join_counted(keys, often, ["k1", "k2"], keys.count())
-    lost = lost.where("doc_id <> last_doc").select("doc_id", "k1")
-    return lost.groupBy("doc_id").agg(F.collect_set("k1").alias("gone"))
+    often = reliable(runs.merged().where(F.col("n_docs") >= min_docs).select(*_KEY, "last_doc", F.col("n_docs").alias("n")))
+    runs.drop()
+    lost = keys.join(F.broadcast(often), _KEY) if often.count() <= BROADCAST_ROWS else join_counted(keys, often, _KEY, keys.count())
+    return lost.where("doc_id <> last_doc").groupBy("doc_id", "body").agg(F.collect_set("line").alias("gone"))
 
 
-def _strip(text: str | None, gone: list[int] | None, min_chars: int) -> tuple[str, int, int]:
-    text = text or ""
-    if not gone:
-        return text, text.count("\n") + 1, 0
-    gone = set(gone)
-    lines = text.split("\n")
-    kept = [x for x, d in zip(lines, _hashed(text, min_chars)) if d is None or int.from_bytes(d[:8], "big", signed=True) not in gone]
-    return "\n".join(kept), len(lines), len(lines) - len(kept)
+def _with_gone(docs: DataFrame, min_chars: int, min_docs: int) -> tuple[DataFrame, str]:
+    """The columns of ``docs`` in their order, then the places that a row loses.
 
-
-def _with_gone(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
-    """The columns of ``docs`` in their order, then the keys that a row loses.
-
-    Where all those keys are few they are broadcast; where the documents that
-    lose some are few, only these leave their place to meet their keys.
+    Where all those places are few they are broadcast; where the documents that
+    lose some are few, only these leave their place to meet them.
     """
-    gone = reliable(dropped_keys(docs, min_chars, min_docs))
-    rid, lost = unused(docs, "id"), unused(docs, "lost")
-    rows = docs.withColumn(rid, F.col("doc_id").cast("long"))
-    gone = gone.select(F.col("doc_id").alias(rid), F.col("gone").alias(lost))
-    n = gone.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size(lost)), F.lit(0)).alias("keys")).first()
+    gone = reliable(dropped_lines(docs, min_chars, min_docs))
+    rid, body, lost = (unused(docs, c) for c in ("id", "body", "lost"))
+    rows = docs.withColumns({rid: F.col("doc_id").cast("long"), body: F.xxhash64(F.col("text").cast("string"))})
+    gone = gone.select(F.col("doc_id").alias(rid), F.col("body").alias(body), F.col("gone").alias(lost))
+    n = gone.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size(lost)), F.lit(0)).alias("places")).first()
     columns = [*[F.col(f"`{c}`") for c in docs.columns], F.col(lost)]
-    if n["keys"] <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(gone), rid, "left").select(columns)
+    on = [rid, body]
+    if n["places"] <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(gone), on, "left").select(columns), lost
     if n["docs"] <= BROADCAST_ROWS:
-        ids = small(gone.select(rid))
-        whole = rows.join(ids, rid, "left_anti").withColumn(lost, F.lit(None).cast("array<bigint>"))
-        return whole.select(columns).union(rows.join(ids, rid, "left_semi").join(gone, rid).select(columns))
-    return rows.join(gone, rid, "left").select(columns)
+        ids = small(gone.select(on))
+        whole = rows.join(ids, on, "left_anti").withColumn(lost, F.lit(None).cast("array<int>"))
+        return whole.select(columns).union(rows.join(ids, on, "left_semi").join(gone, on).select(columns)), lost
+    return rows.join(gone, on, "left").select(columns), lost
+
+
+def _kept(text: Column, gone: Column) -> Column:
+    """The text without the lines at ``gone``. The lines are a field of a lambda's
+    argument, so that the text is split once, not once a line."""
+    bound = F.array(F.struct(_lines(text).alias("lines"), gone.alias("gone")))
+
+    def without(x):
+        places = F.array_except(F.sequence(F.lit(0), F.size(x["lines"]) - 1), x["gone"])
+        return F.array_join(F.transform(places, lambda i: F.get(x["lines"], i)), "\n")
+
+    return F.transform(bound, without)[0]
 
 
 def dedup_digest(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -175,18 +214,13 @@ def dedup_digest(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     whatever their names.
     """
     texts = need_columns(docs, doc_id="long", text="string")
-
-    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n, d, sha = [], [], []
-        for text, gone in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            kept, lines, dropped = _strip(text, gone, min_chars)
-            n.append(lines)
-            d.append(dropped)
-            sha.append(hashlib.sha256(kept.encode("utf-8", "replace")).hexdigest())
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(d, pa.int64()), pa.array(sha, pa.string())], names=["doc_id", "n_lines", "n_dropped", "kept_sha256"])
-
-    joined = _with_gone(texts, min_chars, min_docs)
-    return map_texts(joined, "text", fn, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
+    rows, lost = _with_gone(texts, min_chars, min_docs)
+    text, gone = F.coalesce("text", F.lit("")), F.col(lost)
+    kept = F.when(gone.isNull(), text).otherwise(_kept(text, gone))
+    return rows.select(
+        "doc_id", F.size(_lines(text)).cast("long").alias("n_lines"), F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped"),
+        F.sha2(kept.cast("binary"), 256).alias("kept_sha256"),
+    )
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -198,30 +232,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     as one document and lose the same keys; a null ``doc_id`` loses nothing.
     Texts of any length are taken whole. An empty table gives no rows.
     """
-    bound_batches(docs.sparkSession)
-    schema = docs.schema
-    at = schema.fieldNames().index("text")
-    count = schema.fieldNames().index("n_chars") if "n_chars" in schema.fieldNames() else None
-
-    def run(batches):
-        for batch in batches:
-            gone = batch.column(batch.num_columns - 1).to_pylist()
-            cols = [batch.column(i) for i in range(batch.num_columns - 1)]
-            if any(gone):
-                texts = cols[at].to_pylist()
-                for i, g in enumerate(gone):
-                    if g:
-                        texts[i] = _strip(texts[i], g, min_chars)[0]
-                kind = cols[at].type
-                cols[at] = pa.array(texts, kind)
-                if count is not None:
-                    sizes = [len(t) if g else old for t, g, old in zip(texts, gone, cols[count].to_pylist())]
-                    cols[count] = pa.array(sizes, cols[count].type)
-            yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names[:-1])
-        give_back()
-
-    joined = _with_gone(docs, min_chars, min_docs)
-    return joined.mapInArrow(run, schema)
+    rows, lost = _with_gone(docs, min_chars, min_docs)
+    kinds, gone = dict(docs.dtypes), F.col(lost)
+    rows = rows.withColumn("text", F.when(gone.isNull(), F.col("text")).otherwise(_kept(F.col("text"), gone).cast(kinds["text"])))
+    if "n_chars" in kinds:
+        rows = rows.withColumn("n_chars", F.when(gone.isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kinds["n_chars"])))
+    return rows.select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def oracle_sql(min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> str:
