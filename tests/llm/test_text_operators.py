@@ -7,7 +7,6 @@ import duckdb
 import pytest
 
 from textkiln.llm import line_dedup, quality_rules, secret_scan
-from textkiln.llm.frames import reliable
 
 EDGES = [
     (1, None, "en", "s1"), (2, "", "en", "s1"), (3, "short", None, None), (3, "short", None, None), (4, "a " * 40000, "de", "s2"), (None, "x y z", "en", "s1"),
@@ -68,14 +67,15 @@ def test_runs_are_compacted_and_anti_joined(spark):
 
 def test_batches_are_joined_against_the_runs(spark, monkeypatch):
     met = []
-    unseen = line_dedup.LineRuns.unseen
+    marked = line_dedup.LineRuns.marked
 
     def watched(self, keys):
-        out = unseen(self, keys)
-        met.append((keys.count(), out.count()))
+        out = marked(self, keys)
+        met.append((keys.count(), out.where("fresh").count()))
+        assert self.unseen(keys).count() == met[-1][1]
         return out
 
-    monkeypatch.setattr(line_dedup.LineRuns, "unseen", watched)
+    monkeypatch.setattr(line_dedup.LineRuns, "marked", watched)
     common = "a line that every document of the table holds"
     rows = [(i, f"{common}\na line of only one document, which is number {i}", "en", "s") for i in range(40)]
     lost = line_dedup.dropped_lines(frame(spark, rows)).collect()
@@ -100,15 +100,17 @@ def test_runs_are_merged_where_they_lie(spark):
     runs._write = lambda rows: (written.append(plan_of(rows)), write(rows))[1]
     for i in range(2):
         runs.add(spark.range(i * 50, i * 50 + 100).selectExpr("id AS doc_id", "xxhash64(id) AS k1", "id AS k2"))
-    new = reliable(spark.range(120, 200).selectExpr("xxhash64(id) AS k1", "id AS k2").repartition(4, "k1", "k2").sortWithinPartitions("k1", "k2"))
+    new = spark.range(120, 200).selectExpr("xxhash64(id) AS k1", "id AS k2")
     with runs._sorted_scans():
         unseen = runs.unseen(new)
         plan = plan_of(unseen)
         assert sorted(r["k2"] for r in unseen.collect()) == list(range(150, 200))
         assert plan.count("SortMergeJoin") == 2 and plan.count("SelectedBucketsCount: 4 out of 4") == 2
-        assert "Exchange" not in plan and "Sort [" not in plan  # neither side is dealt or sorted again
+        assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1  # the new keys' own
     folder = runs.folder
     assert sorted(r["k2"] for r in runs.merged().collect()) == list(range(150))
+    anti = next(p for p in written if "LeftOuter" in p)
+    assert "Exchange" not in anti and "Sort [" not in anti  # a batch is written like the runs
     assert "FullOuter" in written[-1] and "Exchange" not in written[-1] and written[-1].count("Sort [") == 0
     assert len(list(os.scandir(folder))) == 1  # merged runs are gone
     runs.drop()

@@ -117,19 +117,21 @@ class LineRuns:
         return names[0]
 
     def unseen(self, keys: DataFrame) -> DataFrame:
-        """The rows of ``keys`` that no run holds: a batch's new lines. Where the
-        keys are dealt and sorted like the runs, neither side moves."""
+        """The rows of ``keys`` that no run holds: a batch's new lines. A batch that
+        is written like the runs does not move, either."""
         for run in self.runs():
             keys = keys.join(run.where("fresh").select(*_KEY).hint("merge"), _KEY, "left_anti")
         return keys
 
-    def known(self, keys: DataFrame) -> DataFrame | None:
-        """The rows of ``keys`` that a run holds; it is the first in one only."""
-        out = None
-        for run in self.runs():
-            met = keys.join(run.where("fresh").select(*_KEY).hint("merge"), _KEY, "left_semi")
-            out = met if out is None else out.union(met)
-        return out
+    def marked(self, keys: DataFrame) -> DataFrame:
+        """The same anti-joins in one pass that keeps the rows that a run holds:
+        ``keys`` with ``fresh``, true where no run does."""
+        fresh = F.lit(True)
+        for i, run in enumerate(self.runs()):
+            met = run.where("fresh").select(*_KEY, F.lit(True).alias(f"met{i}"))
+            keys = keys.join(met.hint("merge"), _KEY, "left")
+            fresh = fresh & F.col(f"met{i}").isNull()
+        return keys.withColumn("fresh", fresh)
 
     def add(self, keys: DataFrame) -> None:
         """Count a batch of ``(doc_id, k1, k2)`` rows into a run of its own: the
@@ -138,13 +140,13 @@ class LineRuns:
         A document must not be spread over batches.
         """
         counts = keys.where("doc_id IS NOT NULL").groupBy(*_KEY).agg(F.countDistinct("doc_id").alias("n_docs"), F.max("doc_id").alias("last_doc"))
-        counts = counts.repartition(self.buckets, *_KEY)
+        batch = self._write(counts.repartition(self.buckets, *_KEY).withColumn("fresh", F.lit(True)))
         if not self.levels:
-            return self._push(0, self._write(counts.withColumn("fresh", F.lit(True))))
+            return self._push(0, batch)
         with self._sorted_scans():
-            counts = reliable(counts.sortWithinPartitions(*_KEY))
-            rows = self.unseen(counts).withColumn("fresh", F.lit(True)).union(self.known(counts).withColumn("fresh", F.lit(False)))
-            self._push(0, self._write(rows))
+            run = self._write(self.marked(self.spark.table(batch).drop("fresh")))
+        self._forget([batch])
+        self._push(0, run)
 
     def _push(self, level: int, run: str) -> None:
         while len(self.levels) <= level:
