@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import dense_row_number
+from .ranking import dense_row_number, numbered
 
 
 def keep_first(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -21,9 +21,8 @@ def keep_first(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 def join_by_place(left: DataFrame, right: DataFrame, left_order: list[str], right_order: list[str]) -> DataFrame:
     """The rows of two tables side by side, the first with the first. Both must
     have as many rows; the columns of ``right`` must have names of their own."""
-    a = dense_row_number(left, [F.col(c) for c in left_order], "place")
-    b = dense_row_number(right, [F.col(c) for c in right_order], "place")
-    n, m = a.count(), b.count()
+    a, n = numbered(left, [F.col(c) for c in left_order], "place")
+    b, m = numbered(right, [F.col(c) for c in right_order], "place")
     if n != m:
         raise ValueError(f"{n} rows on the left, {m} on the right")
     return a.join(b, "place")

@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textkiln import schemas as S
-
 from textkiln.functions import text as T
+from textkiln.sources.folders import kept
 
 from .enrich import weight_of
-from .ranking import dense_row_number
+from .joins import join_per_key, token
+from .ranking import numbered
 
 
 def shuffle_key(key: Column, seed: int = S.SEED_NUMBER) -> Column:
@@ -43,45 +44,59 @@ def weighted_pool(chunks: DataFrame, chapter: str = "chapter_num") -> DataFrame:
     return chunks.withColumn("copy", F.explode(F.sequence(F.lit(1), copies(weight_of(F.col(chapter))))))
 
 
-def schedule(chunks: DataFrame, target: int, pool_size: int | None = None, key: str = "doc_id", seed: int = S.SEED_NUMBER) -> DataFrame:
+def schedule(chunks: DataFrame, target: int, key: str = "doc_id", seed: int = S.SEED_NUMBER) -> DataFrame:
     """The first ``target`` tasks: the shuffled pool gone through again and
     again, each task with its drawn type. ``task_no`` counts from 1.
 
-    Only as many rounds as the target needs are made, and tasks are numbered
-    range by range: no task orders all of them.
+    A round has the order of the one before, so the pool is numbered once and a
+    round only moves its numbers up; no more rounds are made than needed.
     """
-    pool = weighted_pool(chunks)
-    n = pool.count() if pool_size is None else pool_size
-    if not n or target < 1:
-        return pool.select(key, "chapter_num", "copy", F.lit(0).alias("round"), F.lit("").alias("question_type"), F.lit(0).cast("long").alias("task_no")).limit(0)
-    rounds = math.ceil(target / n)
+    pool = weighted_pool(chunks).select(key, "chapter_num", "copy")
     ident = F.concat_ws("|", F.col(key).cast("string"), F.col("copy").cast("string"))
-    tasks = pool.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds))))
-    order = [F.col(c) for c in ("round", "place", key, "copy")]
-    tasks = dense_row_number(tasks.withColumn("place", shuffle_key(ident, seed)), order, "task_no").where(F.col("task_no") <= target)
+    pool, n = numbered(pool, [shuffle_key(ident, seed), F.col(key), F.col("copy")], "place")
+    rounds = math.ceil(max(target, 0) / n) if n else 0
+    tasks = pool.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds)) if rounds else F.expr("CAST(array() AS ARRAY<INT>)")))
+    tasks = tasks.withColumn("task_no", (F.col("round") - 1) * n + F.col("place")).where(F.col("task_no") <= target)
     drawn = draw_type(F.concat_ws("|", ident, F.col("round").cast("string")), seed)
     return tasks.select(key, "chapter_num", "copy", "round", drawn.alias("question_type"), "task_no")
 
 
 def contrastive_pairs(chunks: DataFrame, key: str = "doc_id", seed: int = S.SEED_NUMBER) -> DataFrame:
-    """Each chunk with a partner of its chapter and another echelon (null is an
-    echelon of its own) and paragraph, or without one.
-
-    Partners are not searched among all pairs: every (chapter, echelon) has a
-    champion, the chunk of least hash, and a chunk's partner is the champion of
-    the next echelon of its chapter. Groups are only as many as echelons.
+    """Each chunk with a partner drawn evenly from all chunks of its chapter that
+    have another echelon and another paragraph, or without one. Nulls are values
+    of their own; ``key`` is unique.
+
+    An order-statistic join: chunks are numbered by chapter, echelon, paragraph
+    and hash, so what a chunk may not have (its echelon, and its paragraph in
+    each other echelon) are a few ranges of numbers. A number is drawn among
+    those left, moved over the ranges, and joined: no pair is ever listed.
     """
-    place = shuffle_key(F.col(key), seed)
-    rank = F.struct(place.alias("place"), F.col(key).alias("id"), F.col("para_id").alias("para_id"))
-    # two of each group: the second serves where the first shares the paragraph
-    champions = chunks.groupBy("chapter_num", "echelon", "para_id").agg(F.min(rank).alias("best"))
-    champions = champions.groupBy("chapter_num", "echelon").agg(F.array_sort(F.collect_list("best")).alias("best"))
-    champions = champions.select("chapter_num", "echelon", F.slice("best", 1, 2).alias("best"))
-    by_chapter = champions.groupBy("chapter_num").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("echelon", F.lit("")).alias("name"), "echelon", "best"))).alias("others"))
-    rows = chunks.alias("a").join(by_chapter.withColumnRenamed("chapter_num", "__c"), F.col("a.chapter_num").eqNullSafe(F.col("__c")), "left").drop("__c")
-    others = F.filter("others", lambda o: ~o["echelon"].eqNullSafe(F.col("echelon")))
-    usable = F.flatten(F.transform(others, lambda o: F.filter(o["best"], lambda b: ~b["para_id"].eqNullSafe(F.col("para_id")))))
-    return rows.select(key, "chapter_num", "echelon", "para_id", F.array_min(usable)["id"].alias("partner_id"))
+    parts = {"__c": token(F.col("chapter_num")), "__e": token(F.col("echelon")), "__p": token(F.col("para_id"))}
+    rows = chunks.select(key, "chapter_num", "echelon", "para_id").withColumns(parts)
+    order = ["__c", "__e", "__p"]
+    placed, total = numbered(rows.select(key, *order), [*map(F.col, order), shuffle_key(F.col(key), seed), F.col(key)], "place", start=0)
+    blocks = kept(placed.groupBy(*order).agg(F.min("place").alias("start"), F.count("*").alias("n")))
+    span = F.struct(F.min("start").alias("start"), F.sum("n").alias("n"))
+    # a chapter's and an echelon's range, and the ranges of a paragraph by echelon
+    # (there are as many as echelons at most)
+    chapter = blocks.groupBy("__c").agg(span.alias("chapter"))
+    echelon = blocks.groupBy("__c", "__e").agg(span.alias("echelon"))
+    paragraph = blocks.groupBy("__c", "__p").agg(F.collect_list(F.struct("start", "n", "__e")).alias("ranges"))
+    blocks = blocks.join(chapter, ["__c"]).join(echelon, ["__c", "__e"]).join(paragraph, ["__c", "__p"])
+    others = F.transform(F.filter("ranges", lambda r: r["__e"] != F.col("__e")), lambda r: F.struct(r["start"].alias("start"), r["n"].alias("n")))
+    barred = F.array_sort(F.concat(F.array("echelon"), others))
+    left = F.col("chapter.n") - F.aggregate(barred, F.lit(0).cast("long"), lambda a, r: a + r["n"])
+    rules = blocks.select(*order, "n", F.col("chapter.start").alias("__first"), barred.alias("__barred"), left.alias("__left"))
+    drawn = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|partner|"), F.col(key).cast("string"))), 1, 15), 16, 10).cast("long")
+    rows = join_per_key(rows, rules, order, "n", total)
+    number = F.when(F.col("__left") > 0, F.aggregate("__barred", F.col("__first") + F.pmod(drawn, F.col("__left")), lambda at, r: F.when(r["start"] <= at, at + r["n"]).otherwise(at)))
+    rows = kept(rows.select(key, "chapter_num", "echelon", "para_id", number.alias("place")))
+    # a rare echelon's chunk may be the only partner of very many
+    asked = rows.where("place IS NOT NULL").groupBy("place").agg(F.count("*").alias("n"))
+    partners = placed.select("place", F.col(key).alias("partner_id")).join(asked, "place")
+    found = join_per_key(rows.where("place IS NOT NULL"), partners, ["place"], "n", total)
+    alone = rows.where("place IS NULL").withColumn("partner_id", F.lit(None).cast(dict(found.dtypes)["partner_id"]))
+    return found.union(alone.select(found.columns)).drop("place")
 
 
 def retype_without_partner(tasks: DataFrame, partner: str = "partner_id") -> DataFrame:

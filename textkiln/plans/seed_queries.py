@@ -51,16 +51,13 @@ o AS (SELECT *, row_number() OVER (ORDER BY round, md5('42|' || doc_id || '|' ||
 SELECT doc_id, chapter_num, CAST(copy AS INT) AS copy, CAST(round AS INT) AS round, {I.sql_draw("(doc_id || '|' || copy || '|' || round)")} AS question_type, task_no
 FROM o WHERE task_no <= (SELECT 5 * count(*) // 2 FROM pool)""")
 def task_schedule(spark, sf_dir):
-    docs = I.documents(spark, sf_dir)
-    n = schedule.weighted_pool(docs).count()
-    return schedule.schedule(docs, 5 * n // 2, pool_size=n)
+    docs = I.documents(spark, sf_dir).select("doc_id", "chapter_num")
+    return schedule.schedule(docs, 5 * schedule.weighted_pool(docs).count() // 2)
 
 
-@query(f"""WITH {I.SQL_DOCUMENTS}, h AS (SELECT *, md5('42|' || doc_id) AS place FROM docs),
-c AS (SELECT chapter_num, echelon, para_id, min(place) AS place, arg_min(doc_id, place) AS id FROM h GROUP BY ALL),
-r AS (SELECT *, row_number() OVER (PARTITION BY chapter_num, echelon ORDER BY place) AS n FROM c),
-j AS (SELECT h.doc_id, h.chapter_num, h.echelon, h.para_id, r.id, r.place FROM h LEFT JOIN r ON r.chapter_num = h.chapter_num AND r.n <= 2 AND r.echelon IS DISTINCT FROM h.echelon AND r.para_id <> h.para_id)
-SELECT doc_id, chapter_num, echelon, para_id, arg_min(id, place) AS partner_id FROM j GROUP BY ALL""")
+@query(f"""WITH {I.SQL_DOCUMENTS}, j AS (SELECT a.doc_id, a.chapter_num, a.echelon, a.para_id, list(b.doc_id ORDER BY b.echelon NULLS FIRST, b.para_id, md5('42|' || b.doc_id), b.doc_id) FILTER (b.doc_id IS NOT NULL) AS able
+  FROM docs a LEFT JOIN docs b ON a.chapter_num = b.chapter_num AND a.echelon IS DISTINCT FROM b.echelon AND a.para_id <> b.para_id GROUP BY ALL)
+SELECT doc_id, chapter_num, echelon, para_id, able[CAST('0x' || substr(md5('42|partner|' || doc_id), 1, 15) AS BIGINT) % len(able) + 1] AS partner_id FROM j""")
 def contrastive_pairs(spark, sf_dir):
     return schedule.contrastive_pairs(I.documents(spark, sf_dir))
 
