@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -32,3 +33,11 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of ours, wherever the session's file systems have it."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def open_path(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path (local, hdfs, s3 and so on) and its name there."""
+    if "://" not in path:
+        path = path.removeprefix("file:")
+        return fs.LocalFileSystem(), path
+    return fs.FileSystem.from_uri(path)

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from textkiln.functions import text as T
 from textkiln.functions.ladders import is_json
 
+from .lines import numbered_rows
+
+
 def tolerant_scan(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """Rows of the lines that are JSON objects; others are skipped. An object
     that has none of the wanted fields is a row of nulls."""
@@ -40,12 +43,8 @@ def document(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def shards(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
     """All files of a pattern with ``file_path`` and ``line_no``, the order in
-    which keep-first merging reads them. A file's lines are numbered by the
-    offsets of its blocks, so that numbers rise within a file."""
-    lines = spark.read.text(pattern).select(
-        "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")
-    )
-    return tolerant_parse(lines.select("value", "file_path", (F.struct("block", "at")).alias("line_no")), "value", schema)
+    which keep-first merging reads them; lines that are no objects are skipped."""
+    return numbered_rows(spark, pattern, schema).withColumnsRenamed({"file": "file_path", "line": "line_no"})
 
 
 def newest(spark: SparkSession, pattern: str) -> str | None:
