@@ -129,7 +129,7 @@ def test_what_a_killed_task_staged_is_not_read(spark, tmp_path):
     (path / "part-unlisted.jsonl").write_text('{"id": 78}\n')  # moved, but its manifest never came
     assert ids(spark, path) == list(range(5))
     writer = manifest._Writer({"path": str(path)}, overwrite=False)
-    staged = writer.write(iter([some(spark, 50, 52).selectExpr("to_json(struct(*)) AS row").toArrow().to_batches()[0]]))
+    staged = writer.write(iter(some(spark, 50, 52).selectExpr("to_json(struct(*)) AS row").toArrow().to_batches()))
     assert ids(spark, path) == list(range(5))  # not yet committed
     writer.commit([staged, None])
     assert ids(spark, path) == [*range(5), 50, 51]
