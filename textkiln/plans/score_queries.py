@@ -151,17 +151,3 @@ def stage_counts(spark, sf_dir):
 def last_loss(spark, sf_dir):
     e = I.table(spark, sf_dir, "events")
     return reports.last_loss(e, "user_id", F.col("value"), F.col("event_id"), F.col("event_type") == "purchase")
-
-
-@query("SELECT event_id, user_id, event_type FROM events")
-def stream_resume(spark, sf_dir):
-    """Beyond the surveyed operators: events fed twice through the resumable
-    sink; each key is written once."""
-    from textkiln.sources.folders import scratch
-
-    out, source = scratch(spark, "resume"), f"{sf_dir}/events.parquet"
-    schema = I.table(spark, sf_dir, "events").schema
-    for _ in range(2):  # the second run finds its checkpoint and adds nothing
-        stream = spark.readStream.schema(schema).parquet(source if source.endswith("/") else f"{source}*")
-        resume.append_once(stream.select("event_id", "user_id", "event_type"), ["event_id"], f"{out}/data", f"{out}/state").awaitTermination()
-    return spark.read.parquet(f"{out}/data")
