@@ -169,8 +169,29 @@ def linked_in(spark, v):
     return {r["vec_id"]: r["component_id"] for r in embedding_dedup.near_vectors(df).collect()}
 
 
-def test_large_label_of_one_direction_loses_no_pair(spark):
-    n, pairs = 20_000, 400
+def compared_whole_is_an_error(monkeypatch):
+    """The derived passes have to find the pairs."""
+
+    def refuse(*_):
+        def fn(block):
+            raise AssertionError("a label was compared whole")
+
+        return fn
+
+    monkeypatch.setattr(embedding_dedup, "_pairs", refuse)
+
+
+def test_passes_over_a_large_label_find_the_pairs(spark, monkeypatch):
+    compared_whole_is_an_error(monkeypatch)
+    n, pairs = 50_000, 400
+    got = linked_in(spark, planted_pairs(n, pairs, 0.3))
+    assert sum(got[n - pairs + i] == i for i in range(pairs)) >= 0.99 * pairs
+    assert len(set(got.values())) >= n - pairs
+
+
+def test_a_label_that_no_passes_search_is_compared_whole(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "LEAST_TRIED", 3)
+    n, pairs = 3000, 100
     got = linked_in(spark, planted_pairs(n, pairs, 0.7))
     assert [got[n - pairs + i] for i in range(pairs)] == list(range(pairs))
 
@@ -183,10 +204,7 @@ def test_passes_follow_from_size_and_direction(spark, monkeypatch):
     raw = embedding_dedup.passes_needed(planted_pairs(n, pairs, 0.0)[:: n // 500], n, window=64)[0]
     assert raw < few < many
     assert embedding_dedup.passes_needed(sample, n, window=64, most=few - 1)[0] is None
-    # no label is compared whole: the derived passes have to find the pairs
-    monkeypatch.setattr(embedding_dedup, "SURE", 0)
-    monkeypatch.setattr(embedding_dedup, "TILES_A_PASS", 0)
-    monkeypatch.setattr(embedding_dedup, "TILE", 20)
+    compared_whole_is_an_error(monkeypatch)
     got = linked_in(spark, v)
     assert sum(got[n - pairs + i] == i for i in range(pairs)) >= 0.99 * pairs
 

@@ -1,4 +1,4 @@
-"""Near-duplicate vectors by sorted projection passes, or all pairs.
+"""Near-duplicate vectors by sorted projection passes.
 
 Every pass gives each vector a key of concatenated random hashes, the signs of
 its products with random directions, and orders the vectors of a label by that
@@ -6,14 +6,12 @@ key: near vectors share long prefixes and come to stand close together. Each
 vector is compared with the next ones in the order, a bounded window of them,
 and the verified pairs of all passes are united.
 
-How a label is searched follows from its distinct vectors:
-
-* as many as a window holds: one pass, which compares all pairs;
-* up to ``SURE`` tiles of them: all pairs, in tiles;
-* more: the passes that find a pair at the threshold with probability
-  ``RECALL`` are derived from the label's size and a sample of it, after its
-  centre is taken off (vectors that share a direction have like signs); where
-  all pairs cost no more than these passes, all pairs are compared instead.
+A label of no more vectors than a window is compared whole by one pass. For any
+other, the passes that find a pair at the threshold with probability ``RECALL``
+are derived from its size and a sample of it, after its centre is taken off
+(vectors that share a direction have like signs). Only a label that no number of
+passes up to its tiles would search so well, because its vectors crowd about the
+threshold, is compared whole instead, in tiles: the exact way for the rest.
 
 The order is cut into blocks of equal length that overlap by one window, so no
 pair of neighbours is lost at a cut and no task grows with the table. Equal
@@ -37,14 +35,13 @@ from .components import connected_components, spanning, unite
 from .frames import join_counted, map_groups, need_columns, reliable, shuffle_width
 
 COSINE = 0.93
-BITS, WINDOW = 48, 1024
+BITS, WINDOW = 48, 64
 #: Chance that the passes over a label find a pair at the threshold.
 RECALL = 0.999
 #: Rows of a block of the order, of a block of a component and of a tile.
 BLOCK, SQUARE, TILE = 4096, 1024, 2048
-#: Tiles of a label that is compared whole without a sample, tiles that cost as
-#: much as a pass (which moves a vector three times), and rows of a sample.
-SURE, TILES_A_PASS, SAMPLE = 24, 3, 512
+#: Rows of a label's sample, and passes that may be tried at least.
+SAMPLE, LEAST_TRIED = 512, 200
 
 
 def directions(dim: int, turn: int, bits: int = BITS) -> np.ndarray:
@@ -140,19 +137,18 @@ def passes_needed(units: np.ndarray, n: int, cosine: float = COSINE, window: int
     return high, centre
 
 
-_PLAN = "label string, dim int, tiles int, passes int, centre binary"
+_PLAN = "label string, dim int, n long, tiles int, passes int, centre binary"
 
 
-def _planned(cosine: float, window: int, recall: float, tile: int, per_pass: int, kind: str):
+def _planned(cosine: float, window: int, recall: float, kind: str):
     def fn(sample: pa.Table) -> pa.Table:
         n = sample.column("n")[0].as_py()
-        tiles = -(-n // tile)
-        passes, centre = passes_needed(_units(sample.column("vec").to_pylist(), kind), n, cosine, window, recall, most=tiles)
-        whole = passes is None or tiles <= per_pass * passes
+        tiles = -(-n // TILE)
+        passes, centre = passes_needed(_units(sample.column("vec").to_pylist(), kind), n, cosine, window, recall, most=max(LEAST_TRIED, tiles))
         return pa.table({
-            "label": sample.column("label")[:1], "dim": sample.column("dim")[:1],
-            "tiles": pa.array([tiles if whole else 0], pa.int32()), "passes": pa.array([0 if whole else passes], pa.int32()),
-            "centre": pa.array([None if whole else centre.tobytes()], pa.binary()),
+            "label": sample.column("label")[:1], "dim": sample.column("dim")[:1], "n": sample.column("n")[:1],
+            "tiles": pa.array([0 if passes else tiles], pa.int32()), "passes": pa.array([passes or 0], pa.int32()),
+            "centre": pa.array([centre.tobytes() if passes else None], pa.binary()),
         })
 
     return fn
@@ -284,23 +280,19 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, recall: float = REC
 
 
 def _plan(reps: DataFrame, cosine: float, recall: float, window: int, kind: str) -> DataFrame:
-    """How each label of more vectors than a window holds is searched.
-
-    At most one row for every ``window`` vectors, and a centre in one of
-    ``SURE * TILE`` vectors at most.
-    """
-    sizes = reliable(reps.groupBy("label", "dim").agg(F.count("*").alias("n")).where(F.col("n") > window + 1))
-    sure = F.col("n") <= SURE * TILE
-    whole = sizes.where(sure).select("label", "dim", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"), F.lit(0).alias("passes"), F.lit(None).cast("binary").alias("centre"))
-    sample = reps.join(F.broadcast(sizes.where(~sure)), ["label", "dim"]).where(F.pmod(F.xxhash64("rep", F.lit("sample")), F.col("n")) < SAMPLE)
-    rest = map_groups(sample.select("label", "dim", "n", "vec"), ["label", "dim"], _planned(cosine, window, recall, TILE, TILES_A_PASS, kind), _PLAN)
-    return reliable(whole.union(rest))
+    """How each label is searched: a row for each, with how many vectors it has."""
+    sizes = reliable(reps.groupBy("label", "dim").agg(F.count("*").alias("n")))
+    short = sizes.where(F.col("n") <= window + 1).select("label", "dim", "n", F.lit(0).alias("tiles"), F.lit(1).alias("passes"), F.lit(None).cast("binary").alias("centre"))
+    asked = sizes.where(F.col("n") > window + 1)
+    sample = join_counted(reps.select("rep", "label", "dim", "vec"), asked, ["label", "dim"], reps.count())
+    sample = sample.where(F.pmod(F.xxhash64("rep", F.lit("sample")), F.col("n")) < SAMPLE)
+    planned = map_groups(sample.select("label", "dim", "n", "vec"), ["label", "dim"], _planned(cosine, window, recall, kind), _PLAN)
+    return reliable(short.union(planned))
 
 
 def _links(reps: DataFrame, cosine: float, recall: float, window: int, kind: str) -> DataFrame:
     plan = _plan(reps, cosine, recall, window, kind)
-    rows = reps.select("rep", "label", "dim", "vec").join(F.broadcast(plan), ["label", "dim"], "left")
-    rows = rows.select("rep", "label", "dim", "vec", F.coalesce("passes", F.lit(1)).alias("passes"), "centre", F.coalesce("tiles", F.lit(0)).alias("tiles"))
+    rows = join_counted(reps.select("rep", "label", "dim", "vec"), plan, ["label", "dim"], reps.count()).drop("n")
     tiled = (
         rows.where("tiles > 0")
         .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
@@ -337,9 +329,9 @@ def _passed(rows: DataFrame, cosine: float, window: int, kind: str) -> DataFrame
 def _counted(reps: DataFrame, comps: DataFrame, cosine: float, kind: str) -> DataFrame:
     """Links of each representative inside its component, copies counted."""
     members = comps.join(reps, comps.node == reps.rep).select("rep", "component", "mult", "vec")
-    blocks = comps.groupBy("component").agg(F.count("*").alias("k")).select("component", F.ceil(F.col("k") / SQUARE).cast("int").alias("nb"))
+    blocks = comps.groupBy("component").agg(F.count("*").alias("n")).withColumn("nb", F.ceil(F.col("n") / SQUARE).cast("int"))
     spread = (
-        members.join(blocks, "component")
+        join_counted(members, blocks, "component", comps.count())
         .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
         .select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "mult", "vec")
