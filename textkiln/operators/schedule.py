@@ -7,6 +7,8 @@ partitioning, where a seeded generator would depend on row order.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -133,3 +135,45 @@ def take_valid(rows: DataFrame, target: int, *order: str) -> DataFrame:
 
 def over_provision(target: int, factor: float = 1.3) -> int:
     return round(target * factor)
+
+
+@dataclass(frozen=True)
+class Generated:
+    """The valid rows up to the target, and the tasks that were judged for them."""
+
+    rows: DataFrame
+    judged: int
+    rounds: int
+
+
+def generate_until(tasks: DataFrame, target: int, judge: Callable[[DataFrame], DataFrame], task_no: str = "task_no", ok: str = "ok", factor: float = 1.3, floor: float = 0.01) -> Generated:
+    """Judge tasks in order until ``target`` of them are valid.
+
+    ``tasks`` are numbered from 1 without gaps, and ``judge`` adds the column
+    ``ok``. The first round issues a part of what the target would need at the
+    expected rate of 1 in ``factor``; each next one issues what is missing at
+    the rate seen so far, and no round more than that. A rate under ``floor`` is
+    taken as ``floor``. Rounds are written, so nothing is judged twice.
+    """
+    total = tasks.agg(F.max(task_no)).first()[0] or 0
+    parts, judged, valid, rate = [], 0, 0, 1 / factor
+    while valid < target and judged < total:
+        # the first look is a tenth: a wrong guess of the rate then costs little
+        missing = math.ceil(target / 10) if not judged else target - valid
+        n = min(total - judged, math.ceil(missing / rate))
+        part = kept(judge(tasks.where((F.col(task_no) > judged) & (F.col(task_no) <= judged + n))))
+        parts.append(part.where(ok).drop(ok))
+        valid, judged = valid + parts[-1].count(), judged + n
+        rate = max(valid / judged, floor)
+    if not parts:
+        return Generated(judge(tasks.limit(0)).where(ok).drop(ok), 0, 0)
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.union(part)
+    if valid > target:  # only the last round can have more than is missing
+        last, _ = numbered(parts[-1], [F.col(task_no)], "__place")
+        room = target - (valid - parts[-1].count())
+        rows = last.where(F.col("__place") <= room).drop("__place")
+        for part in parts[:-1]:
+            rows = rows.union(part)
+    return Generated(rows, judged, len(parts))

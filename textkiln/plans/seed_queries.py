@@ -8,6 +8,8 @@ from textkiln import schemas as S
 from textkiln.functions import chat, prompts
 from textkiln.functions import text as T
 from textkiln.operators import enrich, merge, prefs, reports, schedule, split, validate
+from textkiln.operators.ranking import numbered
+from textkiln.sources import providers
 from textkiln.sources.jsonl import text_projection
 
 from . import inputs as I
@@ -144,6 +146,27 @@ def target_cutoff(spark, sf_dir):
     return schedule.take_valid(ok, 50, "place", "key")
 
 
+@query(f"""WITH {I.SQL_SEEDS}, o AS (SELECT key, row_number() OVER (ORDER BY md5('42|' || key), key) AS task_no, {_sql_reason(_SQL_RULES)} AS reason FROM seeds)
+SELECT key, task_no FROM o WHERE reason = 'ok' ORDER BY task_no LIMIT (SELECT count(*) // 4 FROM seeds)""")
+def target_adaptive(spark, sf_dir):
+    """Tasks judged in rounds until a quarter of their number is valid."""
+    seeds = I.seeds(spark, sf_dir)
+    tasks, n = numbered(seeds, [schedule.shuffle_key(F.col("key")), F.col("key")], "task_no")
+
+    def judge(rows):
+        reason = validate.reason("base", F.col("question"), F.col("answer_c"), F.col("trace"), F.array("para_id"))
+        return rows.select("key", "task_no", (reason == "ok").alias("ok"))
+
+    return schedule.generate_until(tasks, n // 4, judge).rows.select("key", "task_no")
+
+
+@query(f"WITH {I.SQL_SEEDS} SELECT key, md5('exam|' || question) AS reply FROM seeds")
+def generate_replies(spark, sf_dir):
+    """A reply to each question from a stand-in provider, many calls at once."""
+    asked = I.seeds(spark, sf_dir).select("key", F.col("question").alias("prompt"))
+    return providers.generate(asked, providers.provider("stub"), system="exam").select("key", "reply")
+
+
 _MARKS = ["<think>a\nb</think>", "x<channel|>y<channel|>", "", "Thinking...hm done thinking. ", "<think>1</think>m<think>2</think>", "<|channel>thought\nq<channel|>"]
 _DECORATED = f"d AS (SELECT conv_id, turn, {I.sql_pick(_MARKS, 'conv_id + turn')} || text AS t FROM conversations)"
 

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import json
+import threading
+import time
 import urllib.request
+from collections import deque
 from collections.abc import Callable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
-from typing import Protocol
+from typing import Protocol, TypeVar
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
+T = TypeVar("T")
+
 
 class Provider(Protocol):
     def generate(self, prompt: str, system: str, temperature: float) -> str: ...
@@ -75,13 +82,70 @@ def provider(name: str, **options) -> Provider:
     return REGISTRY[name](**options)
 
 
-def generate(prompts: DataFrame, using: Provider, prompt: str = "prompt", system: str = "", temperature: float = 0.7, to: str = "reply") -> DataFrame:
-    """``prompts`` with a reply each. One call a row, as many at once as there
-    are tasks; filters and anti-joins belong before this step."""
+@dataclass(frozen=True)
+class Pool:
+    """How a task calls its provider: calls at once, calls begun per worker
+    before the oldest has answered, tries of a call that gives nothing, and the
+    seconds before the second try (twice as many before the next)."""
+
+    workers: int = 8
+    window: int = 4
+    tries: int = 3
+    wait: float = 0.5
+
+
+def answer(using: Provider, prompt: str, system: str, temperature: float, pool: Pool) -> str:
+    """The first answer that is not empty; '' when no try gives one."""
+    for n in range(pool.tries):
+        if n:
+            time.sleep(pool.wait * 2 ** (n - 1))
+        with contextlib.suppress(Exception):  # a provider that fails has no answer
+            if reply := using.generate(prompt, system, temperature):
+                return reply
+    return ""
+
+
+def answers(batches: Iterator[tuple[T, list[str | None]]], using: Provider, system: str, temperature: float, pool: Pool) -> Iterator[tuple[T, list[str]]]:
+    """Each batch with the answers to its prompts, in order.
+
+    Calls go on over the ends of batches: whenever one ends the next prompt is
+    sent, and never more than ``workers * window`` are begun and not answered.
+    """
+    free = threading.Semaphore(pool.workers * pool.window)
+
+    def call(prompt: str) -> str:
+        try:
+            return answer(using, prompt, system, temperature, pool)
+        finally:
+            free.release()
+
+    waiting: deque[tuple[T, list[Future]]] = deque()
+    with ThreadPoolExecutor(pool.workers) as threads:
+        for batch, prompts in batches:
+            sent = []
+            for prompt in prompts:
+                free.acquire()
+                sent.append(threads.submit(call, prompt or ""))
+            waiting.append((batch, sent))
+            while waiting and all(f.done() for f in waiting[0][1]):
+                done, replies = waiting.popleft()
+                yield done, [f.result() for f in replies]
+        while waiting:
+            done, replies = waiting.popleft()
+            yield done, [f.result() for f in replies]
+
+
+def generate(prompts: DataFrame, using: Provider, prompt: str = "prompt", system: str = "", temperature: float = 0.7, to: str = "reply", pool: Pool = Pool()) -> DataFrame:
+    """``prompts`` with a reply each, '' where the provider failed. A task has
+    ``pool.workers`` calls in flight and keeps the order of its rows; filters and
+    anti-joins belong before this step."""
     schema = ", ".join(f"`{n}` {t}" for n, t in prompts.dtypes) + f", `{to}` string"
+    at = prompts.columns.index(prompt)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(**{to: [using.generate(p or "", system, temperature) for p in batch[prompt]]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # small pieces, so that what has been answered goes on
+        pieces = (b.slice(i, 64) for b in batches for i in range(0, b.num_rows, 64))
+        for piece, replies in answers(((p, p.column(at).to_pylist()) for p in pieces), using, system, temperature, pool):
+            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(replies, pa.string())], names=[*piece.schema.names, to])
 
-    return prompts.mapInPandas(run, schema)
+    return prompts.mapInArrow(run, schema)
