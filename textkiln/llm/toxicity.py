@@ -181,7 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, parts: int = 4, rest: int = 2, per_c
     texts = need_columns(docs, doc_id="long", text="string")
     sample = reliable(labelled_sample(texts, labels, "toxic", parts, rest, per_class, SAMPLE_BYTES))
     rows = sorted(((r["doc_id"], r["text"], r["label"]) for r in sample.collect()), key=lambda r: (r[0], r[1] or ""))
-    ordinary = trained(list(dict.fromkeys(w for _, t, y in rows if y == 0 for w in windows(t, 16)))[:60_000], ORDINARY_BYTES)
+    ordinary = trained(list(dict.fromkeys(w for _, t, y in rows if y == 0 for w in windows(t, 16))), ORDINARY_BYTES)
     bad, good = ([t for t in dict.fromkeys(t for _, t, y in rows if y == v)] for v in (1, 0))
     if not bad or not good:
         return Model(ordinary, trained(toxic_text(bad, good), TOXIC_BYTES[0]))
