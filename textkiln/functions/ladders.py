@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import strip, strip_thinking
-
-FENCE = r"(?s)```json\s*(.*?)\s*```"
-FLAT = r"(?s)\{[^{}]+\}"
-NESTED = r"(?s)\{[^{}]*(?:\{[^{}]*\}[^{}]*)?\}"
+from textkiln import schemas as S
 
+from .text import strip, strip_thinking
 
 def is_json(c: Column) -> Column:
     """True for a text that is one JSON value and nothing more.
@@ -35,17 +32,17 @@ def _match(c: Column, pattern: str, group: int) -> Column:
 
 def first_json(c: Column) -> Column:
     """Whole text, fenced block, first flat object; null if none parses."""
-    return F.coalesce(_parsed(strip(c)), _parsed(_match(c, FENCE, 1)), _parsed(_match(c, FLAT, 0)))
+    return F.coalesce(_parsed(strip(c)), _parsed(_match(c, S.JSON_FENCE, 1)), _parsed(_match(c, S.JSON_FLAT, 0)))
 
 
 def longest_json(c: Column) -> Column:
     """Reasoning stripped; whole text, fenced block, then the objects of up to
     two levels, longest first (the earlier of equals)."""
     t = strip_thinking(c)
-    blocks = F.regexp_extract_all(t, F.lit(NESTED), F.lit(0))
+    blocks = F.regexp_extract_all(t, F.lit(S.JSON_NESTED), F.lit(0))
     ranked = F.array_sort(F.transform(blocks, lambda b, i: F.struct((-F.length(b)).alias("rank"), i.alias("at"), b.alias("block"))))
     good = F.filter(ranked, lambda r: is_json(r["block"]))
-    return F.coalesce(_parsed(strip(t)), _parsed(_match(t, FENCE, 1)), F.get(good, F.lit(0))["block"])
+    return F.coalesce(_parsed(strip(t)), _parsed(_match(t, S.JSON_FENCE, 1)), F.get(good, F.lit(0))["block"])
 
 
 def is_object_with_keys(json: Column) -> Column:

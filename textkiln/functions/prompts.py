@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from textkiln import schemas as S
+
 #: What each question type asks for.
 INSTRUCTIONS = {
     "factual": "Write one question about a single fact that the source states, and answer it from the source alone.",
@@ -26,8 +28,8 @@ class Profile:
     """Templates take: unit, title, id, echelon, text (twice for pairs), task."""
 
     unit: str = "Chapter"
-    single: str = "SOURCE TEXT (%s %s: %s, Para %s, Echelon: %s):\n%s\n\nTASK: %s\n"
-    pair: str = "SOURCE A (%s %s: %s, Para %s, Echelon: %s):\n%s\n\nSOURCE B (%s %s: %s, Para %s, Echelon: %s):\n%s\n\nTASK: %s\n"
+    single: str = S.SINGLE_PROMPT
+    pair: str = S.PAIR_PROMPT
     single_chars: int = 800
     pair_chars: int = 600
     instructions: dict = field(default_factory=lambda: dict(INSTRUCTIONS))

@@ -1,24 +1,11 @@
-"""Record schemas and the fixed values that results depend on."""
+"""The schema of a chunk's metadata and the fixed values that results depend on."""
 
 from __future__ import annotations
 
-CHUNK = (
-    "chunk_id BIGINT, para_id STRING, text STRING, chapter_num STRING, chapter_title STRING, section STRING, "
-    "page_range ARRAY<INT>, word_count INT, has_figure_reference BOOLEAN, cross_references ARRAY<STRING>"
-)
 METADATA = (
     "STRUCT<ipb_step: INT, content_type: STRING, echelon: STRING, domain: STRING, threat_type: STRING, "
     "ipb_product: STRING, environment: STRING, doctrinal_weight: DOUBLE>"
 )
-ENRICHED = f"{CHUNK}, metadata {METADATA}"
-SEED = (
-    "qa_id STRING, source_chunks ARRAY<STRING>, question_type STRING, question STRING, thinking_trace STRING, answer STRING, "
-    "metadata STRUCT<ipb_step: INT, content_type: STRING, echelon: STRING, domain: STRING, environment: STRING, "
-    "difficulty: STRING, citation_paragraphs: ARRAY<STRING>>"
-)
-TRAIN_EXAMPLE = "text STRING, qa_id STRING, question_type STRING, chapter_num STRING, ipb_step INT, echelon STRING"
-EVAL_QUESTION = "id STRING, type STRING, question STRING, keywords ARRAY<STRING>, difficulty STRING"
-TRAINER_STATE = "log_history ARRAY<STRUCT<step: INT, epoch: DOUBLE, loss: DOUBLE, eval_loss: DOUBLE>>"
 
 # ---------------------------------------------------------------------------
 # Fixed values. Results must equal these tables, patterns and formats.
@@ -126,3 +113,12 @@ WEAK_SCORE, PENALTY = 0.5, 0.1
 FIXED_REJECTED = "I don't have specific information about that doctrine."
 MIN_REJECTED_WORDS = 10
 SEED_NUMBER = 42
+
+#: JSON inside free text: a fenced block, a flat object, one nested once.
+JSON_FENCE = r"(?s)```json\s*(.*?)\s*```"
+JSON_FLAT = r"(?s)\{[^{}]+\}"
+JSON_NESTED = r"(?s)\{[^{}]*(?:\{[^{}]*\}[^{}]*)?\}"
+
+#: Header lines of prompts; the leak rule looks for them.
+SINGLE_PROMPT = "SOURCE TEXT (%s %s: %s, Para %s, Echelon: %s):\n%s\n\nTASK: %s\n"
+PAIR_PROMPT = "SOURCE A (%s %s: %s, Para %s, Echelon: %s):\n%s\n\nSOURCE B (%s %s: %s, Para %s, Echelon: %s):\n%s\n\nTASK: %s\n"
