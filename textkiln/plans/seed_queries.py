@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from textkiln import schemas as S
 from textkiln.functions import chat, prompts
 from textkiln.functions import text as T
-from textkiln.operators import enrich, merge, prefs, reports, schedule, split, validate
+from textkiln.operators import citations, enrich, merge, prefs, reports, schedule, split, validate
 from textkiln.operators.ranking import numbered
 from textkiln.sources import providers
 from textkiln.sources.jsonl import text_projection
@@ -374,6 +374,32 @@ def citation_exists(spark, sf_dir):
     return cited.join(known, F.col("cited") == F.col("known"), "left").select("key", F.col("known").isNotNull().alias("found"))
 
 
+_CLAIMS = f"""claims AS (SELECT a.doc_id AS key, CASE WHEN a.doc_id % 3 = 0 THEN {I.sql_pick(I.NAMES, 'a.doc_id + 1')} || '-' || (a.doc_id % 50 + 1) WHEN a.doc_id % 7 = 0 THEN 'Z-1' ELSE a.para_id END AS cited,
+  left(a.text, 300) || CASE WHEN a.doc_id % 2 = 0 THEN ' and so it was said of all ' || a.doc_id ELSE '' END AS text FROM docs a)"""
+
+
+def _sql_shingles(c: str) -> str:
+    words = f"regexp_extract_all(coalesce({c}, ''), '[\\p{{L}}\\p{{N}}]+')"
+    return f"list_transform([{words}], lambda w: list_distinct(CASE WHEN len(w) = 0 THEN [] ELSE list_transform(range(greatest(len(w) - 2, 0) + 1), lambda i: array_to_string(w[i + 1:i + 2], ' ')) END))[1]"
+
+
+@query(f"""WITH {I.SQL_DOCUMENTS}, {_CLAIMS}, a AS (SELECT key, cited, {_sql_shingles('text')} AS s FROM claims),
+p AS (SELECT DISTINCT para_id, unnest({_sql_shingles('text')}) AS h FROM docs), u AS (SELECT key, cited, unnest(s) AS h FROM a),
+m AS (SELECT key, count(*) AS n_shared FROM u JOIN p ON p.para_id = u.cited AND p.h = u.h GROUP BY key),
+r AS (SELECT a.key, cited, cited IN (SELECT para_id FROM docs) AS found, CAST(len(s) AS BIGINT) AS n_shingles, n_shared, coalesce(n_shared >= ceil(len(s) * 0.8 - 1e-9), false) AND len(s) > 0 AS supported FROM a LEFT JOIN m USING (key))
+SELECT key, cited, found, n_shingles, CASE WHEN supported THEN n_shared END AS n_shared, supported FROM r""")
+def citation_text(spark, sf_dir):
+    """Claims from the beginning of a document, some with words of their own or
+    citing a wrong paragraph, against the paragraph they cite."""
+    d = I.documents(spark, sf_dir)
+    number = F.col("doc_id")
+    wrong = F.concat_ws("-", I.chapter(number + 1), (number % 50 + 1).cast("string"))
+    cited = F.when(number % 3 == 0, wrong).when(number % 7 == 0, F.lit("Z-1")).otherwise(F.col("para_id"))
+    own = F.when(number % 2 == 0, F.concat(F.lit(" and so it was said of all "), number.cast("string"))).otherwise(F.lit(""))
+    claims = d.select(number.alias("key"), cited.alias("cited"), F.concat(F.left("text", F.lit(300)), own).alias("text"))
+    return citations.supported(claims, d.select("para_id", "text"))
+
+
 @query(f"""WITH {I.SQL_SEEDS} SELECT key, CASE WHEN question_type IN ('applied_reasoning', 'contrastive') THEN 1 ELSE 2 END AS priority FROM seeds
 WHERE question_type IN ('applied_reasoning', 'contrastive') OR (question_type IN ('factual', 'procedural') AND CAST('0x' || substr(md5('42|' || key), 1, 8) AS BIGINT) % 100 < 20)""")
 def review_queue(spark, sf_dir):
