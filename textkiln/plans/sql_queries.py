@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
+from textkiln.functions import text as T
 from textkiln.functions import udtf
-from textkiln.operators import observed, schedule
+from textkiln.operators import observed, packing_lines, schedule
 from textkiln.sources.folders import scratch
 
 from . import inputs as I
@@ -52,6 +54,17 @@ def stage_log(spark, sf_dir):
     return log.report().select("place", "stage", "n_rows", "percent")
 
 
+@query(f"""WITH RECURSIVE {I.SQL_LINES}, n AS (SELECT doc_id, i, {I.sql_words('line')} AS w, i % 17 = 5 AS starts FROM lines),
+r AS (SELECT doc_id, i, w AS total, i AS first FROM n WHERE i = 0
+  UNION ALL SELECT n.doc_id, n.i, CASE WHEN n.starts OR r.total > {PACKED_WORDS} THEN n.w ELSE r.total + n.w END, CASE WHEN n.starts OR r.total > {PACKED_WORDS} THEN n.i ELSE r.first END FROM r JOIN n ON n.doc_id = r.doc_id AND n.i = r.i + 1)
+SELECT doc_id, CAST(i AS BIGINT) AS line_no, CAST(first AS BIGINT) AS chunk FROM r""")
+def pack_lines_rows(spark, sf_dir):
+    """Lines that are rows, packed in segments of sixteen lines each."""
+    lines = I.table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "said"))
+    lines = lines.select(F.col("doc_id").alias("doc"), "line", T.word_count(F.col("said")).alias("words"), (F.col("line") % 17 == 5).alias("starts"))
+    return packing_lines.pack_lines(lines, PACKED_WORDS, segment=16).select(F.col("doc").alias("doc_id"), F.col("line").alias("line_no"), "chunk")
+
+
 def _pool_sql() -> str:
     weight = f"coalesce({I.sql_map('chapter_num', I.WEIGHTS, 'DOUBLE')}, 1.5)"
     return f"pool AS (SELECT doc_id, unnest(range(1, CAST(greatest(1, round_even({weight}, 0)) AS INT) + 1)) AS copy FROM docs WHERE {I.sql_words('text')} >= 30)"
