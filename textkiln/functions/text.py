@@ -117,3 +117,11 @@ def parse_labelled_qa(c: Column) -> Column:
 def resolve_model_name(c: Column) -> Column:
     """A model's name without the suffixes of its quantised builds."""
     return F.regexp_replace(c, r"(-unsloth)?-bnb-4bit$", "")
+
+
+def model_candidates(base: Column, override: Column) -> Column:
+    """Names under which a full-precision base may be found, in the order in which
+    they are tried: the override, the name without its build, the name itself.
+    Null and empty names are none, and no name stands twice."""
+    names = F.array(override, resolve_model_name(base), base)
+    return F.array_distinct(F.filter(names, lambda n: n.isNotNull() & (n != "")))

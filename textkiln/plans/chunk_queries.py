@@ -50,13 +50,16 @@ pieces AS (SELECT e.doc_id, {I.sql_pick(I.NAMES, 'e.doc_id')} AS chapter_num, e.
 
 
 def _chunks(spark, sf_dir):
+    return _chunked(I.table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _chunked(docs):
     """Chunks of the documents; every third line begins a paragraph."""
 
     def start(_, i):
         name = F.concat_ws("-", I.chapter(F.col("doc_id")), (F.floor(i / I.LINES_PER_PARAGRAPH) + 1).cast("string"))
         return i % I.LINES_PER_PARAGRAPH == 0, name, I.chapter(F.col("doc_id"))
 
-    docs = I.table(spark, sf_dir, "documents").select("doc_id", "text")
     return chunking.chunk(docs, start=start, max_words=I.MAX_WORDS, min_words=I.MIN_WORDS)
 
 
@@ -309,3 +312,27 @@ _BUILDS = ["", "-bnb-4bit", "-unsloth-bnb-4bit"]
 def model_names(spark, sf_dir):
     built = F.concat("source", F.lit("-it"), I.pick(_BUILDS, F.col("doc_id")))
     return I.table(spark, sf_dir, "documents").select("doc_id", T.resolve_model_name(built).alias("model"))
+
+
+@query("""WITH d AS (SELECT doc_id, source || '-it' AS name, CASE WHEN doc_id % 3 = 0 THEN 'local-' || (doc_id % 5) END AS override, doc_id % 3 <> 0 AS built FROM documents),
+n AS (SELECT doc_id, override, name, name || (CASE doc_id % 3 WHEN 1 THEN '-bnb-4bit' WHEN 2 THEN '-unsloth-bnb-4bit' ELSE '' END) AS base FROM d)
+SELECT doc_id, array_to_string(list_filter([override, name, CASE WHEN base <> name THEN base END], lambda x: x IS NOT NULL), ',') AS candidates FROM n""")
+def model_candidates(spark, sf_dir):
+    """Where a model's full-precision base is looked for."""
+    base = F.concat("source", F.lit("-it"), I.pick(_BUILDS, F.col("doc_id")))
+    override = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("local-"), (F.col("doc_id") % 5).cast("string")))
+    return I.table(spark, sf_dir, "documents").select("doc_id", F.array_join(T.model_candidates(base, override), ",").alias("candidates"))
+
+
+_FIGURES = FOLD.replace("FROM documents", "FROM (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'see Figure 3-' || doc_id || ' ' ELSE '' END || text AS text FROM documents)")
+
+
+@query(f"""{_FIGURES}
+SELECT count(*) AS n_chunks, CAST(coalesce(sum(word_count), 0) AS BIGINT) AS n_words, CAST(coalesce(sum(word_count), 0) // greatest(count(*), 1) AS BIGINT) AS avg_words,
+  count(*) FILTER (from_line = 0 AND doc_id % 4 = 0) AS n_figures FROM pieces""")
+def figure_report(spark, sf_dir):
+    """The report over documents of which a fourth name a figure in their first
+    line."""
+    named = F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit("see Figure 3-"), F.col("doc_id").cast("string"), F.lit(" "))).otherwise(F.lit(""))
+    docs = I.table(spark, sf_dir, "documents").select("doc_id", F.concat(named, "text").alias("text"))
+    return chunking.chunk_report(_chunked(docs))
