@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from textkiln import schemas as S
 from textkiln.functions import rouge
-from textkiln.operators import reports, score
+from textkiln.operators import prefs, reports, score
 from textkiln.operators.ranking import dense_row_number
-from textkiln.streaming import resume
 
 from . import inputs as I
 
@@ -74,6 +73,19 @@ def eval_run_summary(spark, sf_dir):
     return score.run_summary(*_models(spark, sf_dir))
 
 
+_PREFIXES = {prefix: name for name, (_, _, prefix) in S.QUESTION_TYPES.items()}
+
+
+@query(f"""WITH {I.SQL_SEEDS}, weak AS (SELECT DISTINCT {I.sql_pick(_PREFIXES.values(), 'id')} AS question_type FROM ({ORACLES['base_vs_ft']}) WHERE marker = '↓')
+SELECT key, question_type FROM seeds s WHERE question_type IN (SELECT question_type FROM weak) OR NOT EXISTS (SELECT 1 FROM seeds JOIN weak USING (question_type))""")
+def dpo_semi(spark, sf_dir):
+    """Seeds of the types of questions that the tuned model lost ground on; a
+    question's id begins with the sign of its type."""
+    lost = base_vs_ft(spark, sf_dir).where("marker = '↓'")
+    weak = lost.select(F.concat_ws("-", I.pick(list(_PREFIXES), F.col("id")), F.col("id").cast("string")).alias("id"))
+    return prefs.matching_seeds(I.seeds(spark, sf_dir).select("key", "question_type"), prefs.weak_types(weak)).select("key", "question_type")
+
+
 @query(f"""WITH {_SCORED}, {_MODELS}, a AS (SELECT item_id AS id, score FROM m WHERE model = 1)
 SELECT 'weak' AS side, id, score FROM a WHERE score < 0.5 UNION ALL SELECT * FROM (SELECT 'strong' AS side, id, score FROM a WHERE score >= 0.5 ORDER BY score DESC, id LIMIT 3)""")
 def weak_strong_topk(spark, sf_dir):

@@ -335,15 +335,6 @@ def train_text_projection(spark, sf_dir):
     return text_projection(_rendered(spark, sf_dir))
 
 
-_WEAK = ["F-01", "AR-02", "XX-9", "CT-1"]
-
-
-@query(f"WITH {I.SQL_SEEDS} SELECT key, question_type FROM seeds WHERE question_type IN ('factual', 'applied_reasoning', 'contrastive')")
-def dpo_semi(spark, sf_dir):
-    weak = spark.createDataFrame([(w,) for w in _WEAK], "id string")
-    return prefs.matching_seeds(I.seeds(spark, sf_dir).select("key", "question_type"), prefs.weak_types(weak)).select("key", "question_type")
-
-
 @query(f"""WITH {I.SQL_SEEDS}, r AS (SELECT key, question, answer, CASE WHEN turn % 2 = 0 THEN left(answer, 200) ELSE left(answer, 20) END AS rejected FROM seeds ORDER BY md5('42|' || key), key LIMIT 200)
 SELECT key, {I.sql_strip('question')} AS prompt, {I.sql_strip('answer')} AS chosen, CASE WHEN {I.sql_words('rejected')} < 10 THEN '{S.FIXED_REJECTED.replace("'", "''")}' ELSE rejected END AS rejected
 FROM r WHERE {I.sql_strip('question')} <> '' AND {I.sql_strip('answer')} <> ''""")
