@@ -125,10 +125,10 @@ def best_paths(messages: DataFrame, top: int = 1) -> DataFrame:
     links = _links(messages)
     total = links.count()
     # total and steps: over the message itself and what is passed by the pointer
-    state = links.select("node", "up", F.col("score").alias("total"), F.lit(1).cast("long").alias("steps"))
+    state = links.select("node", "up", F.col("score").alias("total"), F.lit(1).cast("long").alias("steps"))  # of written rows
     jumps = []
     while total and (1 << len(jumps)) <= 2 * total:
-        going = reliable(state.where("up IS NOT NULL"))
+        going = state.where("up IS NOT NULL")
         n = going.count()
         if not n:
             break
