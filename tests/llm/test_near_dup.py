@@ -146,3 +146,27 @@ def test_connected_components(spark):
     good = [(a, b) for a, b in links if a is not None and a != b]
     nodes, roots = components.union_find(*map(np.array, zip(*good)))
     assert got == dict(zip(nodes.tolist(), roots.tolist()))
+
+
+def test_few_rows_take_few_jobs_and_tasks(spark):
+    """However many partitions a shuffle has: the driver keeps a record of every
+    task, and that broke its memory over 211 partitions."""
+    rows, sc = corpus(), spark.sparkContext
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    held = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup("near-dup", "few jobs")
+        got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(df).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("near-dup")]
+    stages = [tracker.getStageInfo(s) for j in jobs if j for s in j.stageIds]
+    tasks = sum(s.numCompletedTasks for s in stages if s)
+    assert [got[d] for d, _ in rows] == brute(rows, 2, 80)[1]
+    assert len(jobs) < 150 and tasks < 4500, (len(jobs), tasks)

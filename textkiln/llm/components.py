@@ -7,11 +7,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import join_counted, reliable
+from .frames import HOT_ROWS, HOT_SHARE, counted, few, join_counted, reliable
 
 _PAIR = "hi long, lo long"
-#: Links of a task, about, and fewest tasks of a round.
-TASK_LINKS, MIN_TASKS = 100_000, 12
+#: Links of a task, about.
+TASK_LINKS = 100_000
 
 
 def union_find(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -55,56 +55,58 @@ def spanning(rep: np.ndarray, root: np.ndarray) -> pa.Table | None:
 
 
 def _contract(batches):
-    """Each batch of links becomes stars around its local components' roots."""
+    """Links become stars around the roots of their local components, so many
+    links of a task at a time as a bound allows."""
+    held, n = [], 0
     for batch in batches:
-        a, b = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        if not len(a):
-            continue
-        nodes, roots = union_find(a, b)
-        far = nodes != roots
-        yield pa.RecordBatch.from_arrays([pa.array(nodes[far]), pa.array(roots[far])], names=["hi", "lo"])
+        held.append([batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)])
+        n += batch.num_rows
+        if n >= TASK_LINKS:
+            yield _stars(held)
+            held, n = [], 0
+    if n:
+        yield _stars(held)
+
+
+def _stars(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+    nodes, roots = union_find(*map(np.concatenate, zip(*held)))
+    far = nodes != roots
+    return pa.RecordBatch.from_arrays([pa.array(nodes[far]), pa.array(roots[far])], names=["hi", "lo"])
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """``(node, component)`` for every node that has a link to another node.
 
     ``component`` is the least node reachable. Links are first contracted by a
-    union-find inside each batch, then alternating large-star and small-star
-    rounds join what lies in different batches. Aggregates are combined before
-    their shuffle and joins broadcast the few nodes that hold many links, so a
-    node with many links is no hot key. Links with a null end and self links are
-    ignored; no links give no rows.
+    union-find inside each task, then alternating large-star and small-star
+    rounds join what lies in different tasks. They end when every node is a least
+    one or has one link, to a lesser one: the first step of a round counts the
+    others. Aggregates are combined before their shuffle and joins broadcast the
+    few nodes that hold many links, so a node with many links is no hot key. Links
+    with a null end and self links are ignored; no links give no rows.
     """
     pairs = links.select(F.greatest(a, b).cast("long").alias("hi"), F.least(a, b).cast("long").alias("lo")).where(
         F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("hi") > F.col("lo"))
     )
-    now = reliable(pairs.mapInArrow(_contract, _PAIR).distinct())
-    mark = _fingerprint(now)
+    now, seen = counted(pairs.mapInArrow(_contract, _PAIR).distinct())
     for _ in range(max_rounds):
-        if mark[0] == 0:
-            break
-        # few links need few tasks: the steps of a round run in so many, however
-        # many partitions a shuffle has
-        tasks = max(MIN_TASKS, mark[0] // TASK_LINKS)
-        now = now.coalesce(tasks)
+        n = seen["rows"]
+        now = few(now, n, TASK_LINKS)
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(now.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
-        large = join_counted(both.where("v > u"), least, "u", 2 * mark[0]).select(F.col("v").alias("hi"), F.col("m").alias("lo")).coalesce(tasks).distinct()
+        ends = both.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("far"), F.count("*").alias("n"))
+        loose = F.expr("count_if(m < u AND (far > u OR n > 1))")
+        least, found = counted(few(ends, 2 * n, TASK_LINKS), loose=loose, most=F.max("n"))
+        if not found["loose"]:
+            return least.select(F.col("u").alias("node"), F.least("u", "m").alias("component"))
+        least, most = least.select("u", F.least("u", "m").alias("m"), "n"), found["most"]
+        large = few(join_counted(both.where("v > u"), least, "u", 2 * n, most), n, TASK_LINKS).select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+        large = few(large.distinct(), n, TASK_LINKS)
+        if most > max(HOT_ROWS, n // HOT_SHARE):  # else read by a short plan
+            large = reliable(large)
+        # no node has more lesser neighbours now than it had neighbours
         floor = large.groupBy("hi").agg(F.min("lo").alias("m"), F.count("*").alias("n"))
-        small = join_counted(large, floor, "hi", mark[0])
+        small = few(join_counted(large, floor, "hi", n, most), n, TASK_LINKS)
         kept, moved = F.struct("hi", F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        both = F.explode(F.when(F.col("lo") > F.col("m"), F.array(kept, moved)).otherwise(F.array(kept)))
-        after = reliable(small.select(both.alias("p")).select("p.*").coalesce(tasks).distinct().coalesce(tasks))
-        then = _fingerprint(after)
-        now, same, mark = after, then == mark, then
-        if same:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    nodes = now.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
-    return nodes.union(now.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct())
-
-
-def _fingerprint(pairs: DataFrame) -> tuple:
-    row = pairs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64("hi", "lo").cast("decimal(20,0)")), F.lit(0)).alias("h")).first()
-    return row["n"], str(row["h"])
+        after = F.explode(F.when(F.col("lo") > F.col("m"), F.array(kept, moved)).otherwise(F.array(kept)))
+        now, seen = counted(few(small.select(after.alias("p")).select("p.*").distinct(), 2 * n, TASK_LINKS))
+    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

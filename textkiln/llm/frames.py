@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -34,16 +34,17 @@ HOT_SHARE, HOT_ROWS = 1000, 10_000
 BROADCAST_ROWS = 500_000
 
 
-def join_counted(big: DataFrame, per_key: DataFrame, keys: str | list[str], total: int) -> DataFrame:
+def join_counted(big: DataFrame, per_key: DataFrame, keys: str | list[str], total: int, most: int | None = None) -> DataFrame:
     """Inner join of ``big`` with one row per key; ``per_key.n`` is how many rows
-    of ``big`` hold the key and ``total`` how many rows ``big`` has, about.
+    of ``big`` hold the key and ``total`` how many rows ``big`` has, about;
+    ``most`` is the largest ``n``, where that is known.
 
     Hot keys are at most ``HOT_SHARE`` rows, so these are broadcast and their
     rows of ``big`` stay where they are; the others are joined by a shuffle.
     """
     keys = [keys] if isinstance(keys, str) else keys
     limit = max(HOT_ROWS, total // HOT_SHARE)
-    if total <= limit:  # no key can be hot
+    if min(total, total if most is None else most) <= limit:  # no key is hot
         return big.join(per_key, keys).select(*big.columns, *[c for c in per_key.columns if c not in keys])
     rest = [c for c in per_key.columns if c not in keys]
     hot = per_key.where(F.col("n") > limit).select(*keys, F.struct(*rest).alias("hot"))
@@ -54,10 +55,20 @@ def join_counted(big: DataFrame, per_key: DataFrame, keys: str | list[str], tota
     return found.select(columns).union(others.select(columns))
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, n: int | None = None) -> DataFrame:
     """``df``, a written table of few narrow columns, marked for broadcast where
-    it is counted to have few rows."""
-    return F.broadcast(df) if df.count() <= rows else df
+    it is counted to have few rows; ``n`` is their number, where that is known."""
+    return F.broadcast(df) if (df.count() if n is None else n) <= rows else df
+
+
+#: Fewest tasks of a step, and rows of a task where no other number is given.
+MIN_TASKS, TASK_ROWS = 12, 20_000
+
+
+def few(df: DataFrame, rows: int, per_task: int = TASK_ROWS) -> DataFrame:
+    """``df``, of ``rows`` rows at most, in no more tasks than these need, however
+    many partitions a shuffle has. The driver keeps a record of every task."""
+    return df.coalesce(max(MIN_TASKS, -(-rows // per_task)))
 
 
 def reliable(df: DataFrame) -> DataFrame:
@@ -74,6 +85,15 @@ def reliable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def counted(df: DataFrame, **counts: Column) -> tuple[DataFrame, dict]:
+    """``reliable(df)``, and its ``rows`` and further aggregates as the write itself
+    saw them: no job reads the files again to count them."""
+    seen = Observation()
+    out = reliable(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in counts.items()]))
+    found = seen.get
+    return out, {k: found.get(k) or 0 for k in ("rows", *counts)}
+
+
 def local_checkpoint_dir(master: str) -> str:
     """A temporary folder, only for sessions that run in one process."""
     import tempfile

@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from .components import connected_components, spanning, unite
-from .frames import bound_batches, give_back, join_counted, map_groups, map_texts, need_columns, reliable, shuffle_width, small, unused
+from .components import TASK_LINKS, connected_components, spanning, unite
+from .frames import bound_batches, counted, few, give_back, join_counted, map_groups, map_texts, need_columns, reliable, shuffle_width, small, unused
 from .shingles import shingle_set
 from .superminhash import band_keys, signatures
 
@@ -39,6 +39,8 @@ SLOTS, BANDS, ROWS = 223, 36, 6
 MARGIN = 0.2
 #: Links of a bucket's or class's least member that are verified in one task.
 STAR_ROWS = 2048
+#: Sets of a task, about.
+SET_ROWS = 2000
 #: Most members and most shingles of a block, about.
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 500_000
 #: Members outside the main component and other members of an open bucket that
@@ -197,103 +199,134 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80) -> DataF
     if percent < 80:
         raise ValueError("percent must be 80 or more")
     texts = need_columns(docs, doc_id="long", text="string")
-    feats = reliable(map_texts(texts, "text", _features(words), _FEATURES))
-    reps = reliable(
+    feats, seen = counted(map_texts(texts, "text", _features(words), _FEATURES), nameless=F.expr("count_if(doc_id IS NULL)"))
+    n = seen["rows"]
+    classes = (
         feats.where("n_shingles > 0")
         .groupBy("h1", "h2")
         .agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("keys").alias("keys"))
         .where("rep IS NOT NULL")
     )
-    firsts, same_id = _several_texts(feats, reps)
-    comps = connected_components(_links(texts, reps, words, percent).union(same_id))
+    reps, found = counted(few(classes, n), most=F.max("rows"))
+    firsts, same_id = _several_texts(feats, reps, n)
+    links = _links(texts, reps, found["rows"], words, percent)
+    comps = connected_components(links if same_id is None else links.union(same_id))
     named = reps.select("h1", "h2", "rep", F.col("rows").alias("n")).join(comps, F.col("rep") == F.col("node"), "left").select("h1", "h2", "n", F.coalesce("component", "rep").alias("comp"))
-    # a class without an id holds null ids only
-    lone = feats.where("n_shingles > 0 AND doc_id IS NULL").join(reps.select("h1", "h2"), ["h1", "h2"], "left_anti").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("comp"))
     with_set = feats.where("n_shingles > 0").select("doc_id", "n_shingles", "h1", "h2")
-    out = join_counted(with_set, named, ["h1", "h2"], feats.count()).select("doc_id", "n_shingles", "comp").union(lone)
-    # a row without shingles goes with the other texts of its document
-    others = firsts.join(comps, F.col("first") == F.col("node"), "left").select("doc_id", F.coalesce("component", "first").alias("comp"))
-    out = out.union(feats.where("n_shingles = 0").select("doc_id", "n_shingles").join(others, "doc_id", "left").select("doc_id", "n_shingles", "comp"))
+    out = join_counted(with_set, named, ["h1", "h2"], n, found["most"]).select("doc_id", "n_shingles", "comp")
+    if seen["nameless"]:  # a class without an id holds null ids only
+        lone = feats.where("n_shingles > 0 AND doc_id IS NULL").join(reps.select("h1", "h2"), ["h1", "h2"], "left_anti")
+        out = out.union(lone.select("doc_id", "n_shingles", F.lit(None).cast("long").alias("comp")))
+    blank = feats.where("n_shingles = 0").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("comp"))
+    if firsts is not None:  # a row without shingles goes with the other texts of its document
+        others = firsts.join(comps, F.col("first") == F.col("node"), "left").select("doc_id", F.coalesce("component", "first").alias("comp"))
+        blank = blank.drop("comp").join(others, "doc_id", "left").select("doc_id", "n_shingles", "comp")
     component = F.coalesce("comp", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.union(blank).select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def _several_texts(feats: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _several_texts(feats: DataFrame, reps: DataFrame, n: int) -> tuple[DataFrame | None, DataFrame | None]:
     """Documents whose rows differ in text: ``(doc_id, first)``, one class of
-    each, and the links from it to its other classes."""
-    ends = [f(c).alias(f"{n}_{c}") for c in ("h1", "h2") for n, f in (("min", F.min), ("max", F.max))]
-    several = reliable(feats.where("doc_id IS NOT NULL").groupBy("doc_id").agg(*ends).where("min_h1 <> max_h1 OR min_h2 <> max_h2").select("doc_id"))
-    mine = feats.where("n_shingles > 0").join(small(several), "doc_id").select("doc_id", "h1", "h2").distinct()
-    classes = reliable(mine.join(reps.select("h1", "h2", "rep"), ["h1", "h2"]).select("doc_id", "rep"))
+    each, and the links from it to its other classes; nothing where none do."""
+    ends = [f(c).alias(f"{k}_{c}") for c in ("h1", "h2") for k, f in (("min", F.min), ("max", F.max))]
+    differ = feats.where("doc_id IS NOT NULL").groupBy("doc_id").agg(*ends).where("min_h1 <> max_h1 OR min_h2 <> max_h2").select("doc_id")
+    several, seen = counted(few(differ, n, TASK_LINKS))
+    if not seen["rows"]:
+        return None, None
+    mine = feats.where("n_shingles > 0").join(small(several, n=seen["rows"]), "doc_id").select("doc_id", "h1", "h2").distinct()
+    classes = reliable(few(mine.join(reps.select("h1", "h2", "rep"), ["h1", "h2"]).select("doc_id", "rep"), n))
     firsts = classes.groupBy("doc_id").agg(F.min("rep").alias("first"))
     return firsts, classes.join(firsts, "doc_id").where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b"))
 
 
-def _links(texts: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
-    """Verified links ``(a, b)`` that join all similar representatives."""
+def _links(texts: DataFrame, reps: DataFrame, n: int, words: int, percent: int) -> DataFrame:
+    """Verified links ``(a, b)`` that join all similar ones of ``n`` representatives."""
     likely = percent / 100 - MARGIN
-    star = _stars(reps)
-    scored = _scored(star, reps)
-    pairs = reliable(scored.where(F.col("likeness") >= likely).select("a", "b").distinct())
-    nodes = reliable(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
-    sets = _sets_of(texts, reps, nodes, words)
-    near = connected_components(_verified_stars(pairs, sets, percent))
-    alike = reliable(_alike(star, near, reps, likely))
+    star, seen = counted(_stars(reps, n))
+    stars = seen["rows"]
+    scored = _scored(star, stars, reps)
+    pairs, seen = counted(scored.where(F.col("likeness") >= likely).select("a", "b").distinct())
+    p = seen["rows"]
+    pairs = few(pairs, p, TASK_LINKS)
+    nodes = _wanted(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), reps, n)
+    sets = _sets_of(texts, nodes, words)
+    near = connected_components(_verified_stars(pairs, p, sets, percent))
     links = near.select(F.col("component").alias("a"), F.col("node").alias("b"))
-    if alike.isEmpty():
+    alike = _alike(star, near, reps, likely, stars)
+    if alike is None:
+        return links
+    alike, seen = counted(alike)
+    if not seen["rows"]:
         return links
     groups = connected_components(alike)
-    more = groups.select("node").join(nodes, "node", "left_anti")
-    sets = sets.union(_sets_of(texts, reps, reliable(more), words))
-    return links.union(_verified_groups(groups, sets, reps, percent))
+    more = _wanted(groups.select("node").join(nodes[0].select("node"), "node", "left_anti"), reps, n)
+    if more[1]:
+        sets = sets.union(_sets_of(texts, more, words))
+    return links.union(_verified_groups(groups, sets, reps, n, percent))
 
 
-def _stars(reps: DataFrame) -> DataFrame:
+def _stars(reps: DataFrame, n: int | None = None) -> DataFrame:
     """``(key, b, a)``: each member of a bucket but the least, which is ``a``."""
+    total = BANDS * (reps.count() if n is None else n)
     rows = reps.select(F.col("rep").alias("b"), F.explode("keys").alias("key"))
-    least = rows.groupBy("key").agg(F.min("b").alias("a"), F.count("*").alias("n")).where("n > 1")
-    return reliable(join_counted(rows, least, "key", BANDS * reps.count()).where("a <> b").select("key", "a", "b"))
+    least, seen = counted(few(rows.groupBy("key").agg(F.min("b").alias("a"), F.count("*").alias("n")).where("n > 1"), total, TASK_LINKS), most=F.max("n"))
+    return few(join_counted(rows, least, "key", total, seen["most"]).where("a <> b").select("key", "a", "b"), total, TASK_LINKS)
 
 
-def _scored(star: DataFrame, reps: DataFrame) -> DataFrame:
+def _scored(star: DataFrame, stars: int, reps: DataFrame) -> DataFrame:
     """Estimated likeness of the stars' pairs, each pair once."""
-    pairs = reliable(star.select("a", "b").distinct())
+    pairs, seen = counted(few(star.select("a", "b").distinct(), stars, TASK_LINKS))
+    p = seen["rows"]
     left = pairs.join(reps.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b")
-    hubs = pairs.groupBy("a").agg(F.count("*").alias("n")).join(reps.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a")
-    both = join_counted(left, hubs, "a", pairs.count()).select("a", "b", "sa", "sb")
+    sizes, seen = counted(few(pairs.groupBy("a").agg(F.count("*").alias("n")), p, TASK_LINKS), most=F.max("n"))
+    hubs = sizes.join(reps.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a")
+    both = join_counted(left, hubs, "a", p, seen["most"]).select("a", "b", "sa", "sb")
     bound_batches(star.sparkSession)
-    return reliable(both.mapInArrow(_estimates, "a long, b long, likeness double"))
+    return few(both, p).mapInArrow(_estimates, "a long, b long, likeness double")
+
+
+def _wanted(nodes: DataFrame, reps: DataFrame, n: int) -> tuple[DataFrame, int]:
+    """``nodes`` with the digests of their classes, and how many rows these are."""
+    rows, seen = counted(few(nodes.join(reps.select(F.col("rep").alias("node"), "h1", "h2"), "node"), n, TASK_LINKS))
+    return rows, seen["rows"]
 
 
-def _sets_of(texts: DataFrame, reps: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """``(node, shingles)``: the set of each representative among ``nodes``. Only
-    their texts leave their place where ``nodes`` is too long to be broadcast."""
-    wanted = reliable(nodes.join(reps.select(F.col("rep").alias("node"), "h1", "h2"), "node"))
-    some = texts.join(small(wanted), texts.doc_id == wanted.node).select("doc_id", "text", "h1", "h2")
+def _sets_of(texts: DataFrame, wanted: tuple[DataFrame, int], words: int) -> DataFrame:
+    """``(node, shingles)``: the set of each wanted representative. Only their
+    texts leave their place where they are too many to be broadcast."""
+    nodes, n = wanted
+    some = texts.join(small(nodes, n=n), texts.doc_id == nodes.node).select("doc_id", "text", "h1", "h2")
     made = map_texts(some, "text", _sets(words), "node long, h1 long, h2 long, shingles binary")
     made = made.groupBy("node", "h1", "h2").agg(F.first("shingles").alias("shingles"))  # of equal rows one
-    return reliable(made.select("node", "shingles"))
+    return reliable(few(made.select("node", "shingles"), n, SET_ROWS))
 
 
-def _verified_stars(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    parts = reliable(pairs.groupBy("a").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / STAR_ROWS).cast("int")))
+def _verified_stars(pairs: DataFrame, p: int, sets: DataFrame, percent: int) -> DataFrame:
+    sizes = pairs.groupBy("a").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / STAR_ROWS).cast("int"))
+    parts, seen = counted(few(sizes, p, TASK_LINKS), most=F.max("n"))
     centres = parts.select(F.col("a").alias("node"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"))
-    others = join_counted(pairs, parts, "a", pairs.count()).select(F.col("b").alias("node"), "a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("side"))
-    rows = centres.union(others).join(sets, "node").select("a", "part", "side", "node", "shingles")
+    others = join_counted(pairs, parts, "a", p, seen["most"]).select(F.col("b").alias("node"), "a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("side"))
+    rows = few(centres.union(others).join(sets, "node").select("a", "part", "side", "node", "shingles"), 2 * p, SET_ROWS)
     bound_batches(pairs.sparkSession)
     dealt = rows.repartition(shuffle_width(pairs.sparkSession), "a", "part").sortWithinPartitions("a", "part", "side")
-    return dealt.mapInArrow(_against_first(percent), "a long, b long")
+    # a star's rows stay together where partitions follow each other in a task
+    return few(dealt, 2 * p, SET_ROWS).mapInArrow(_against_first(percent), "a long, b long")
 
 
-def _alike(star: DataFrame, near: DataFrame, reps: DataFrame, likely: float) -> DataFrame:
+def _alike(star: DataFrame, near: DataFrame, reps: DataFrame, likely: float, stars: int | None = None) -> DataFrame | None:
     """Spanning links of the pairs of open buckets that are alike by signature
-    and of different components. A bucket's least member is compared already."""
-    named = reliable(star.join(near.withColumnRenamed("node", "b"), "b", "left").select("key", "b", F.coalesce("component", "b").alias("comp")))
+    and of different components; nothing where no bucket is open. A bucket's least
+    member is compared already. ``star`` has ``stars`` rows."""
+    stars = star.count() if stars is None else stars
+    named = reliable(few(star.join(near.withColumnRenamed("node", "b"), "b", "left").select("key", "b", F.coalesce("component", "b").alias("comp")), stars, TASK_LINKS))
     sizes = named.groupBy("key", "comp").agg(F.count("*").alias("k"))
     sizes = sizes.groupBy("key").agg(F.sum("k").alias("n"), F.count("*").alias("comps"), F.max(F.struct("k", "comp")).alias("main")).where("comps > 1")
     blocks = lambda rows, most: F.ceil(rows / most).cast("int")
-    sizes = reliable(sizes.select("key", "n", F.col("main.comp").alias("main"), blocks(F.col("n") - F.col("main.k"), PARTED_ROWS).alias("ni"), blocks(F.col("n"), MEMBER_ROWS).alias("nj")))
-    rows = reliable(join_counted(named, sizes, "key", named.count()))
+    sizes = sizes.select("key", "n", F.col("main.comp").alias("main"), blocks(F.col("n") - F.col("main.k"), PARTED_ROWS).alias("ni"), blocks(F.col("n"), MEMBER_ROWS).alias("nj"))
+    sizes, seen = counted(few(sizes, stars, TASK_LINKS), most=F.max("n"), all=F.sum("n"))
+    if not seen["rows"]:
+        return None
+    rows = reliable(few(join_counted(named, sizes, "key", stars, seen["most"]), seen["all"], TASK_LINKS))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own = lambda n: F.pmod(F.xxhash64("b"), F.col(n)).cast("int")
     left = rows.where("comp <> main").select("key", own("ni").alias("i"), every("nj").alias("j"), "b", "comp", F.lit(True).alias("parted"))
@@ -322,14 +355,16 @@ def _likely(least: float):
     return fn
 
 
-def _verified_groups(groups: DataFrame, sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+def _verified_groups(groups: DataFrame, sets: DataFrame, reps: DataFrame, n: int, percent: int) -> DataFrame:
     """Spanning links of the truly similar pairs inside each group."""
     sizes = groups.join(reps.select(F.col("rep").alias("node"), F.col("n").alias("size")), "node")
-    members = reliable(sizes.groupBy("node", F.col("component").alias("grp")).agg(F.sum("size").alias("size")))
+    members, seen = counted(few(sizes.groupBy("node", F.col("component").alias("grp")).agg(F.sum("size").alias("size")), n, TASK_LINKS))
+    m = seen["rows"]
     weight = members.groupBy("grp").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
-    blocks = reliable(weight.select("grp", "n", F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("int").alias("nb")))
+    weight = weight.select("grp", "n", F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("int").alias("nb"))
+    blocks, seen = counted(few(weight, m, TASK_LINKS), most=F.max("n"))
     spread = (
-        join_counted(members, blocks, "grp", members.count())
+        join_counted(members, blocks, "grp", m, seen["most"])
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
         .select("grp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node")
