@@ -382,14 +382,17 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     and all stay. Null, empty and blank texts are like nothing and stay; texts
     of any length are taken whole. An empty table gives no rows.
     """
-    found = reliable(near_duplicates(docs, words, percent).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.bool_or("kept").alias("kept")))
+    found = near_duplicates(docs, words, percent).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.bool_or("kept").alias("kept"))
+    found, seen = counted(found, apart=F.expr("count_if(NOT kept OR n > 1)"), repeated=F.expr("count_if(kept AND n > 1)"))
     rid, place = unused(docs, "id"), unused(docs, "place")
     rows = docs.withColumn(rid, F.col("doc_id").cast("long"))
     # most texts stay where they are: only ids to look at are moved
-    apart = reliable(found.where("NOT kept OR n > 1").select(F.col("doc_id").alias(rid)))
-    repeated = reliable(found.where("kept AND n > 1").select(F.col("doc_id").alias(rid)))
-    single = rows.join(small(apart), rid, "left_anti")
-    first = Window.partitionBy(rid).orderBy(F.xxhash64("text"))
-    several = rows.join(small(repeated), rid, "left_semi").withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).drop(place)
+    apart = reliable(few(found.where("NOT kept OR n > 1").select(F.col("doc_id").alias(rid)), seen["apart"], TASK_LINKS))
+    single = rows.join(small(apart, n=seen["apart"]), rid, "left_anti")
     columns = [F.col(f"`{c}`") for c in docs.columns]
+    if not seen["repeated"]:
+        return single.select(columns)
+    repeated = reliable(few(found.where("kept AND n > 1").select(F.col("doc_id").alias(rid)), seen["repeated"], TASK_LINKS))
+    first = Window.partitionBy(rid).orderBy(F.xxhash64("text"))
+    several = rows.join(small(repeated, n=seen["repeated"]), rid, "left_semi").withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).drop(place)
     return single.select(columns).union(several.select(columns))
